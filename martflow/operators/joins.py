@@ -2,7 +2,7 @@
 
 Three ways, chosen by the size of the inputs:
 
-* the right side is small enough for the session's broadcast limit: broadcast it;
+* a lookup table is small enough for the session's broadcast limit: broadcast it;
 * the side with repeated keys is too small to hold a troublesome key: plain join;
 * otherwise shuffle, with the rows of hot keys spread over ``salts`` partitions
   and their partner rows repeated once per salt.
@@ -94,8 +94,6 @@ def expand_join(
     that found no partner under its salt is an artefact and is filtered out.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(many):
-        return one.join(F.broadcast(many), keys, "left")
     if input_bytes(many) < skew.min_bytes:
         return one.join(many, keys, "left")
     keyed = many.filter(~_any_null(keys))

@@ -7,23 +7,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The default calendar and the order statuses.
 FIRST_DAY = dt.date(2016, 1, 1)
 LAST_DAY = dt.date(2019, 12, 31)
 STATUSES = ((1, "Pending"), (2, "Processing"), (3, "Rejected"), (4, "Completed"))
 
-STATUS_SCHEMA = T.StructType(
-    [T.StructField("status_id", T.IntegerType()), T.StructField("status", T.StringType())]
-)
-
 
 def date_lookup(
     spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY
 ) -> DataFrame:
     """One row per day with a 1-based ``date_id``."""
-    return _days(spark.range(1).select(F.lit(first).alias("first"), F.lit(last).alias("last")))
+    span = spark.range(0, 1, 1, numPartitions=1)
+    return _days(span.select(F.lit(first).alias("first"), F.lit(last).alias("last")))
 
 
 def date_lookup_for(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -43,4 +39,6 @@ def _days(span: DataFrame) -> DataFrame:
 
 
 def status_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATUSES), STATUS_SCHEMA)
+    # Inline rows have a known size, so joins see that this table is tiny.
+    rows = ", ".join(f"({number}, '{name}')" for number, name in STATUSES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS statuses(status_id, status)")
