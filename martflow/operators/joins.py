@@ -68,7 +68,8 @@ def lookup_join(
 ) -> DataFrame:
     """``many`` left join ``one``, for keys that repeat in ``many``.
 
-    ``counts`` (key, rows) saves a pass over ``many`` if it is at hand anyway.
+    ``counts`` (key, rows) gives the weight of the keys where ``many`` is itself a
+    chain of joins that would have to run for it; it may come from the chain's base.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(one):

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.operators.joins import DEFAULT_SKEW, Skew, lookup_join
+from martflow.operators.joins import DEFAULT_SKEW, Skew, count_keys, lookup_join
 from martflow.plans.star import FACT
 
 PARTS = ("products", "customers", "stores", "staffs", "status", "dates")
@@ -107,10 +107,15 @@ def unsold_products(fact: DataFrame, products: DataFrame) -> DataFrame:
     return products.join(fact.select("product_id").distinct(), "product_id", "left_anti")
 
 
-def with_products(fact: DataFrame, products: DataFrame, skew: Skew = DEFAULT_SKEW) -> DataFrame:
+def with_products(
+    rows: DataFrame,
+    products: DataFrame,
+    skew: Skew = DEFAULT_SKEW,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Fact rows with their product, whose own id replaces the fact's."""
     known = products.withColumn("__product_id", F.col("product_id"))
-    joined = lookup_join(fact, known, "product_id", skew=skew)
+    joined = lookup_join(rows, known, "product_id", counts=counts, skew=skew)
     return joined.drop("product_id").withColumnRenamed("__product_id", "product_id")
 
 
@@ -145,24 +150,26 @@ def build_mart(
         raise ValueError(f"unknown parts {sorted(unknown)}; use some of {PARTS}")
     fact = star[FACT]
     rows = fact.withColumnRenamed("list_price", "order_list_price")
-    counts = customer_order_counts(fact)
+
+    def lookup(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+        # Keys are counted on the fact itself, not on what is joined so far.
+        return lookup_join(rows, dim, key, counts=count_keys(fact, [key]), skew=skew)
 
     if "customers" in parts:
         buyers = customers_with_flag(star["customers_dim"], fact, thresholds)
-        rows = lookup_join(rows, buyers, "customer_id", counts=counts, skew=skew)
+        rows = lookup(rows, buyers, "customer_id")
     if "stores" in parts:
-        rows = lookup_join(rows, star["stores_dim"], "store_id", skew=skew)
+        rows = lookup(rows, star["stores_dim"], "store_id")
     if "staffs" in parts:
-        staffs = star["staffs_dim"].drop("store_id")
-        rows = lookup_join(rows, staffs, "staff_id", skew=skew)
+        rows = lookup(rows, star["staffs_dim"].drop("store_id"), "staff_id")
     if "status" in parts:
         statuses = star["status_dim"].withColumnRenamed("status_id", "order_status")
-        rows = lookup_join(rows, statuses, "order_status", skew=skew)
+        rows = lookup(rows, statuses, "order_status")
     if "dates" in parts:
         rows = _with_role_dates(rows, star["date_dim"])
     if "products" in parts:
         products = star["products_dim"].withColumnRenamed("list_price", "product_list_price")
-        sold = with_products(rows, products, skew)
+        sold = with_products(rows, products, skew, count_keys(fact, ["product_id"]))
         unsold = unsold_products(fact, products)
         rows = sold.unionByName(unsold, allowMissingColumns=True)
 

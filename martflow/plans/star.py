@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.operators.casting import drop_audit_columns
-from martflow.operators.joins import DEFAULT_SKEW, Skew, expand_join, lookup_join
+from martflow.operators.joins import (
+    DEFAULT_SKEW,
+    Skew,
+    count_keys,
+    expand_join,
+    lookup_join,
+)
 
 FACT = "order_fact"
 DIMENSIONS = (
@@ -50,8 +56,9 @@ def products_dim(
 ) -> DataFrame:
     """Products with the names of their brand and category in place of the ids."""
     named = plain_dim(products)
-    named = lookup_join(named, plain_dim(brands), "brand_id", skew=skew)
-    named = lookup_join(named, plain_dim(categories), "category_id", skew=skew)
+    for key, names in (("brand_id", brands), ("category_id", categories)):
+        counts = count_keys(products, [key])
+        named = lookup_join(named, plain_dim(names), key, counts=counts, skew=skew)
     return named.drop("brand_id", "category_id")
 
 
