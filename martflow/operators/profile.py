@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martflow.functions.sizing import input_bytes
+from martflow.operators.joins import DEFAULT_SKEW
+
 # Size of the printed distribution and of the histogram.
 DISTRIBUTION_ROWS = 10
 HISTOGRAM_BINS = 30
@@ -107,9 +110,21 @@ def distinct_counts(df: DataFrame, approximate: bool = False, error: float = 0.0
     return pairs.groupBy("column_name").agg(F.count("value").alias("distinct_values"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: groups of equal rows and the surplus rows in them."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__rows"))
+def duplicate_rows(df: DataFrame, hash_first_bytes: int = DEFAULT_SKEW.min_bytes) -> DataFrame:
+    """One row: groups of equal rows and the surplus rows in them.
+
+    Grouping a large table by all of its columns would shuffle the whole table to
+    find what most often are few duplicates. From ``hash_first_bytes`` on only
+    64-bit hashes are shuffled, and the rows whose hash occurs more than once are
+    then grouped by their columns, which makes the count exact.
+    """
+    rows = df
+    if input_bytes(df) >= hash_first_bytes:
+        row_hash = F.xxhash64(*df.columns).alias("__hash")
+        hashes = df.select(row_hash).groupBy("__hash").agg(F.count(F.lit(1)).alias("__rows"))
+        repeated_hashes = hashes.filter(F.col("__rows") > 1).select("__hash")
+        rows = df.select("*", row_hash).join(repeated_hashes, "__hash", "left_semi")
+    groups = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__rows"))
     repeated = groups.filter(F.col("__rows") > 1)
     return repeated.agg(
         F.count(F.lit(1)).alias("duplicate_groups"),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Layer folders, from raw files to the report table.
@@ -16,6 +18,8 @@ LANDING, STAGE1, STAGE2, INFO_MART, DATA_MART = (
     "datamart",
 )
 
+WRITERS = 4
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -39,8 +43,15 @@ class Layers:
         writer.save(self.path(layer, table))
 
     def write_all(self, tables: Mapping[str, DataFrame], layer: str) -> None:
-        for name, df in tables.items():
-            self.write(df, layer, name)
+        """Write several tables side by side, so that small ones fill idle tasks."""
+        if not tables:
+            return
+        session = next(iter(tables.values())).sparkSession
+        write = inheritable_thread_target(session)(self.write)
+        with ThreadPoolExecutor(WRITERS) as pool:
+            jobs = [pool.submit(write, df, layer, name) for name, df in tables.items()]
+            for job in jobs:
+                job.result()
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.format(self.format).load(self.path(layer, table))

@@ -52,6 +52,17 @@ def test_duplicates_and_distinct(table):
     assert dict(profile.distinct_counts(table, approximate=True).collect()) == exact
 
 
+def test_duplicates_found_by_hash_are_the_same(spark):
+    df = spark.createDataFrame(
+        [(0.0, "a"), (-0.0, "a"), (NAN, None), (NAN, None), (None, "a"), (1.0, "b")] * 2
+        + [(2.0, "only")],
+        "x double, s string",
+    )
+    expected = profile.duplicate_rows(df, hash_first_bytes=1 << 62).first()
+    assert tuple(expected) == (4, 8)
+    assert profile.duplicate_rows(df, hash_first_bytes=0).first() == expected
+
+
 def test_distributions(spark):
     df = spark.range(100).select((F.col("id") % 26).cast("string").alias("s"))
     assert profile.distribution(df, "s").count() == 10
