@@ -157,7 +157,9 @@ def build_mart(
 
     if "customers" in parts:
         buyers = customers_with_flag(star["customers_dim"], fact, thresholds)
-        rows = lookup(rows, buyers, "customer_id")
+        # The aggregate behind the flag also tells which customers are hot.
+        counts = customer_order_counts(fact)
+        rows = lookup_join(rows, buyers, "customer_id", counts=counts, skew=skew)
     if "stores" in parts:
         rows = lookup(rows, star["stores_dim"], "store_id")
     if "staffs" in parts:

@@ -73,6 +73,25 @@ def with_date_ids(df: DataFrame, dates: DataFrame, roles: tuple[str, ...] = DATE
     return df.drop(*roles)
 
 
+def uncovered_dates(
+    df: DataFrame, dates: DataFrame, roles: tuple[str, ...] = DATE_ROLES
+) -> DataFrame:
+    """Per date column: rows with a date, and those whose day the calendar lacks."""
+    marked = df.select(*roles, *(F.col(r).alias(f"__{r}") for r in roles))
+    marked = with_date_ids(marked, dates, roles)
+    entries = [
+        F.struct(
+            F.lit(role).alias("column_name"),
+            F.count(f"__{role}").alias("dated"),
+            F.count_if(F.col(f"__{role}").isNotNull() & F.col(f"{role}_id").isNull()).alias(
+                "uncovered"
+            ),
+        )
+        for role in roles
+    ]
+    return marked.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+
+
 def order_lines(orders: DataFrame, items: DataFrame, skew: Skew = DEFAULT_SKEW) -> DataFrame:
     """Orders with their lines; an order without lines keeps one row."""
     lines = drop_audit_columns(items).drop("item_id")

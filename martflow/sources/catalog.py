@@ -93,14 +93,21 @@ def publish_external(
     them in place, and the rows may come from the published table itself.
     """
     spark = df.sparkSession
-    name = f"`{database}`.`{table}`"
-    schema = df.schema
-    if spark.catalog.tableExists(f"{database}.{table}"):
-        schema = merged_schema(spark.table(name).schema, df.schema)
+    full_name, name = f"{database}.{table}", f"`{database}`.`{table}`"
     version = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
+    if not spark.catalog.tableExists(full_name):
+        df.write.format(format).save(version)
+        spark.catalog.createTable(full_name, path=version, source=format, schema=df.schema)
+        return spark.table(name)
+    old = spark.table(name).schema
+    schema = merged_schema(old, df.schema)
     conform(df, schema).write.format(format).save(version)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(f"{database}.{table}", path=version, source=format, schema=schema)
+    added = [f for f in schema.fields if f.name not in old.names]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(full_name)
     return spark.table(name)
 
 

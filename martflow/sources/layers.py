@@ -53,8 +53,14 @@ class Layers:
             for job in jobs:
                 job.result()
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.format(self.format).load(self.path(layer, table))
+    def read(
+        self, spark: SparkSession, layer: str, table: str, merge_schema: bool = False
+    ) -> DataFrame:
+        """``merge_schema`` is for folders whose files differ in their columns."""
+        reader = spark.read.format(self.format)
+        if merge_schema:
+            reader = reader.option("mergeSchema", True)
+        return reader.load(self.path(layer, table))
 
     def read_all(
         self, spark: SparkSession, layer: str, tables: Sequence[str]

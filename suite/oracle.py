@@ -685,6 +685,11 @@ FROM calendar"""
 ORACLE["dim_products"] = STAR + "SELECT * FROM products_dim"
 ORACLE["fact_order"] = FACT + "SELECT * FROM fact"
 ORACLE["fact_orders_without_lines"] = FACT + "SELECT * FROM fact WHERE product_id IS NULL"
+ORACLE["fact_uncovered_dates"] = ctes(*src("orders")) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS dated, count(*) FILTER (WHERE {c} NOT BETWEEN "
+    f"date '{FIRST_DAY}' AND date '{LAST_DAY}') AS uncovered FROM src_orders"
+    for c in ("order_date", "required_date", "shipped_date")
+)
 ORACLE["surrogate_key_brands"] = (
     "SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS brand_key "
     "FROM (SELECT DISTINCT p_brand FROM part)"

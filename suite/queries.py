@@ -596,6 +596,11 @@ def fact_orders_without_lines(spark, sf_dir):
     return fact.filter(F.col("product_id").isNull())
 
 
+@query
+def fact_uncovered_dates(spark, sf_dir):
+    return star.uncovered_dates(stand_in(spark, sf_dir, "orders"), standins.calendar(spark))
+
+
 @query
 def surrogate_key_brands(spark, sf_dir):
     return surrogate_keys(table(spark, sf_dir, "part"), ["p_brand"], "brand_key")

@@ -52,6 +52,14 @@ def test_partitioned_layer_prunes(spark, layers):
     assert "PartitionFilters: [isnotnull(p" in found._jdf.queryExecution().toString()
 
 
+def test_read_may_merge_schemas(spark, layers):
+    path = layers.path(INFO_MART, "t")
+    spark.sql("SELECT 1 AS a").write.parquet(path)
+    spark.sql("SELECT 2 AS a, 3 AS b").write.mode("append").parquet(path)
+    found = layers.read(spark, INFO_MART, "t", merge_schema=True)
+    assert rows(found) == [(1, None), (2, 3)]
+
+
 def test_conform(spark):
     df = spark.sql("SELECT 1 AS b")
     target = spark.sql("SELECT 'x' AS a, 2L AS b").schema
