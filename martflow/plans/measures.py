@@ -31,8 +31,12 @@ def _sales(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("order_id").isNotNull())
 
 
+def _quotient(part: Column, whole: Column) -> Column:
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
 def _share(part: str, whole: str) -> Column:
-    return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+    return _quotient(F.col(part), F.col(whole))
 
 
 def _by_quarter(mart: DataFrame):
@@ -147,9 +151,12 @@ def customer_value(mart: DataFrame) -> DataFrame:
 
 
 def customer_lifetime_value(mart: DataFrame) -> DataFrame:
-    """Mean customer value times mean years of activity."""
+    """Mean customer value times mean years of activity, both from exact sums."""
+    value = F.col("value").cast("decimal(28,6)")
+    days = F.datediff("last_order", "first_order")
     means = customer_value(mart).agg(
-        _mean("value").alias("mean_value"), _mean("active_years").alias("mean_years")
+        _quotient(F.sum(value), F.count("value")).alias("mean_value"),
+        (_quotient(F.sum(days), F.count(days)) / F.lit(YEAR_DAYS)).alias("mean_years"),
     )
     return means.withColumn("clv", F.col("mean_value") * F.col("mean_years"))
 
@@ -213,14 +220,6 @@ def value_over_time(mart: DataFrame) -> DataFrame:
     return totals.withColumn("value", _share("revenue", "customers"))
 
 
-def _mean(column: str) -> Column:
-    """Mean over an exact sum, equal however the rows are partitioned."""
-    return F.try_divide(
-        F.sum(F.col(column).cast("decimal(28,6)")).cast("double"),
-        F.count(column).cast("double"),
-    )
-
-
 def _retained(grouped, min_orders: int) -> DataFrame:
     counted = grouped.agg(
         F.count(F.lit(1)).alias("customers"),
