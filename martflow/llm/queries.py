@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import imatch, licenses, lines, packing, phrases, pii, quality, simhash, token_files
+from martflow.llm import imatch, licenses, lines, packing, phrases, pii, quality, repeats, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -76,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_duplicates": op1,
     "op2_quality_scores": op2,
     "op3_benchmark_contamination": op3,
+    "op4_repeated_bytes": op4,
     "op5_personal_data": op5,
     "op6_imatch_fingerprints": op6,
     "op7_token_files": op7,
