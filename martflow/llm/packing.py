@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martflow.llm.tokens import Encoder, default_tokenizer, encoded
+from martflow.llm.tokens import default_tokenizer, encoded, encoder
 from martflow.sources.workdir import store
 
 SEQUENCE = 4096
@@ -38,10 +38,10 @@ def pieces(
     tokenizer = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        coder = encoder(tokenizer)
         for batch in batches:
             keys = batch.column(0)
-            for first, ids, at in encoded(batch.column(1), encoder):
+            for first, ids, at in encoded(batch.column(1), coder):
                 total = np.diff(at)
                 many = (total + size - 1) // size
                 row = np.repeat(np.arange(len(total)), many)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.llm.blocks import scatter
-from martflow.llm.tokens import END, Encoder, default_tokenizer, encoded
+from martflow.llm.tokens import END, default_tokenizer, encoded, encoder
 from martflow.sources.workdir import run_folder
 
 SHARD_IDS = 2_000_000
@@ -146,8 +146,8 @@ def write_shards(
     tokenizer = tokenizer or default_tokenizer()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        width = 2 if max(encoder.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else 4
+        coder = encoder(tokenizer)
+        width = 2 if max(coder.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else 4
         number = TaskContext.get().partitionId() << 32
         keys, parts, sizes = [], [], []
 
@@ -158,7 +158,7 @@ def write_shards(
 
         for batch in batches:
             own = batch.column(0).to_pylist()
-            for first, ids, at in encoded(batch.column(1), encoder):
+            for first, ids, at in encoded(batch.column(1), coder):
                 keys += own[first : first + len(at) - 1]
                 parts.append(ids)
                 sizes += np.diff(at).tolist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -131,12 +132,18 @@ class Encoder:
         return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this process: tasks that follow each other share what it has learned."""
+    return Encoder(path)
+
+
 def encoded(
-    texts: pa.Array, encoder: Encoder, end: int = END
+    texts: pa.Array, coder: Encoder, end: int = END
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per block: first row, ids with the end id after each text, offsets of the texts in them."""
     for first, offsets, data in blocks(texts):
-        ids, at = encoder.block(data.tobytes(), offsets)
+        ids, at = coder.block(data.tobytes(), offsets)
         count = len(at) - 1
         ends = at + np.arange(count + 1)
         out = np.full(len(ids) + count, end, np.uint32)
