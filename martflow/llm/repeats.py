@@ -101,7 +101,7 @@ def _dealt(found: np.ndarray, parts: int, extra: list[bytes] | None = None) -> p
     order = np.argsort(part, kind="stable")
     found, part = found[order], part[order]
     first = np.flatnonzero(np.diff(part, prepend=-1))
-    last = np.append(first[1:], len(part))
+    last = np.append(first[1:], len(part))[: len(first)]
     blobs = [found[a:b].tobytes() for a, b in zip(first, last, strict=True)]
     columns = [pa.array(part[first]), pa.array(blobs, pa.binary())]
     if extra is not None:
