@@ -225,7 +225,7 @@ def _merged(group: np.ndarray, start: np.ndarray, end: np.ndarray):
     apart = new.copy()
     apart[1:] |= start[1:] > reach[:-1]
     begin = np.flatnonzero(apart)
-    last = np.append(begin[1:], len(group)) - 1
+    last = (np.append(begin[1:], len(group)) - 1)[: len(begin)]
     return group[begin], start[begin], reach[last]
 
 
