@@ -15,8 +15,8 @@ import pyarrow as pa
 from martflow.llm.blocks import blocks
 
 END = 2
-#: Distinct pieces whose ids a task keeps; beyond that it starts anew.
-CACHE_PIECES = 1_000_000
+#: Distinct pieces whose ids a process keeps; beyond that it forgets the least used half.
+CACHE_PIECES = 400_000
 
 # fixed values: the only normalizer and pre-tokenizer whose pieces are cut here
 _NORMALIZER = [
@@ -81,8 +81,20 @@ class Encoder:
         self.place = _Places()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the more used half of the pieces, and of their ids."""
+        kept = np.sort(np.argpartition(-self.uses, CACHE_PIECES // 2)[: CACHE_PIECES // 2])
+        names = list(self.place)
+        self.place = _Places((names[i], n) for n, i in enumerate(kept.tolist()))
+        first, size = self.first[kept], self.size[kept]
+        ends = np.cumsum(size)
+        self.used = int(ends[-1])
+        self.ids = self.ids[np.repeat(first - ends + size, size) + np.arange(self.used)]
+        self.first, self.size, self.uses = ends - size, size, self.uses[kept]
+
     def _learn(self) -> None:
         new = list(self.place)[len(self.size) :]
         coded = self.model.encode_batch_fast(new, add_special_tokens=False)
@@ -107,7 +119,7 @@ class Encoder:
     def block(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, and where each text's ids begin."""
         if len(self.place) > CACHE_PIECES:
-            self._reset()
+            self._forget()
         texts = [raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         whole = self._plain(raw.decode())
         plain = [whole or self._plain(t) for t in texts]
@@ -117,6 +129,9 @@ class Encoder:
             self._learn()
         counts = np.cumsum([0, *map(len, cut)])
         flat = np.fromiter(chain.from_iterable(cut), np.int64, int(counts[-1]))
+        self.uses = np.bincount(flat, minlength=len(self.size)) + np.append(
+            self.uses, np.zeros(len(self.size) - len(self.uses), np.int64)
+        )
         sizes = self.size[flat]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(self.first[flat] - ends[:-1], sizes) + np.arange(int(ends[-1]))]
