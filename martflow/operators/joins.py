@@ -4,16 +4,17 @@ Three ways, chosen by the size of the inputs:
 
 * a lookup table is small enough for the session's broadcast limit: broadcast it;
 * the side with repeated keys is too small to hold a troublesome key: plain join;
-* otherwise shuffle, with the rows of hot keys spread over ``salts`` partitions
+* otherwise shuffle, with the rows of hot keys spread over salted partitions
   and their partner rows repeated once per salt.
 
-The hot keys are the at most ``MAX_HOT_KEYS`` heaviest ones, so what is broadcast
-to mark them has a fixed bound, and any other key holds less than 1/MAX_HOT_KEYS
-of the rows. Salts only route rows: whichever keys are marked, the result is the
-plain left join.
+Hot is a key with ``min_hot_rows`` rows and at least 1/MAX_HOT_KEYS of all rows, so
+there are at most MAX_HOT_KEYS of them, which bounds what is broadcast to mark
+them. A key gets as many salts as its rows fill tasks of ``min_hot_rows``. Salts only
+route rows: whichever keys are marked, the result is the plain join.
 
 A salt is a hash of the row, not a random number: a task that is run again
-after the loss of an executor sends every row where it went the first time.
+after the loss of an executor sends every row where it went the first time. Rows that
+are equal in all columns share a salt, so keep a row's identity until after the join.
 """
 
 from __future__ import annotations
@@ -26,18 +27,24 @@ from pyspark.sql import functions as F
 
 from martflow.functions.sizing import fits_broadcast, input_bytes
 
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 100_000
+#: Rows without a key have no partner, so spreading them widely costs nothing.
+NULL_SALTS = 1 << 16
 
 _HOT, _SALT, _HIT = "__hot", "__salt", "__hit"
 
 
 @dataclass(frozen=True)
 class Skew:
-    """From what size on keys are counted, and how hot ones are spread."""
+    """From what size on keys are counted, and how hot ones are spread.
 
-    min_bytes: int = 1 << 30
+    ``salts`` is the least number of salts of a hot key. A table dominated by one key is
+    the one that compresses best, hence the low ``min_bytes``.
+    """
+
+    min_bytes: int = 64 << 20
     min_hot_rows: int = 1_000_000
-    salts: int = 64
+    salts: int = 8
 
 
 DEFAULT_SKEW = Skew()
@@ -49,13 +56,11 @@ def count_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW) -> DataFrame:
-    """The heaviest keys of a table with ``rows`` per key, MAX_HOT_KEYS at most."""
-    return (
-        counts.filter((F.col("rows") >= skew.min_hot_rows) & ~_any_null(keys))
-        .orderBy(F.desc("rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
+    """The hot keys of a table with ``rows`` per key, and the number of salts of each."""
+    total = counts.agg(F.sum("rows").alias("total")).scalar()
+    hot = (F.col("rows") >= skew.min_hot_rows) & (F.col("rows") >= total / F.lit(MAX_HOT_KEYS))
+    salts = F.greatest(F.lit(skew.salts), F.ceil(F.col("rows") / F.lit(skew.min_hot_rows)))
+    return counts.filter(hot & ~_any_null(keys)).select(*keys, salts.cast("int").alias(_HOT))
 
 
 def lookup_join(
@@ -65,21 +70,22 @@ def lookup_join(
     *,
     counts: DataFrame | None = None,
     skew: Skew = DEFAULT_SKEW,
+    how: str = "left",
 ) -> DataFrame:
-    """``many`` left join ``one``, for keys that repeat in ``many``.
+    """``many`` left or inner join ``one``, for keys that repeat in ``many``.
 
     ``counts`` (key, rows) gives the weight of the keys where ``many`` is itself a
     chain of joins that would have to run for it; it may come from the chain's base.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(one):
-        return many.join(F.broadcast(one), keys, "left")
+        return many.join(F.broadcast(one), keys, how)
     if input_bytes(many) < skew.min_bytes:
-        return many.join(one, keys, "left")
+        return many.join(one, keys, how)
     hot = hot_keys(count_keys(many, keys) if counts is None else counts, keys, skew)
-    left = _salt_rows(many, keys, hot, skew)
-    right = _repeat_rows(one, keys, hot, skew).drop(_HOT)
-    return left.join(right, [*keys, _SALT], "left").drop(_SALT)
+    left = _salt_rows(many, keys, hot)
+    right = _repeat_rows(one, keys, hot).drop(_HOT)
+    return left.join(right, [*keys, _SALT], how).drop(_SALT)
 
 
 def expand_join(
@@ -99,8 +105,8 @@ def expand_join(
         return one.join(many, keys, "left")
     keyed = many.filter(~_any_null(keys))
     hot = hot_keys(count_keys(keyed, keys), keys, skew)
-    left = _repeat_rows(one, keys, hot, skew)
-    right = _salt_rows(keyed, keys, hot, skew).withColumn(_HIT, F.lit(True))
+    left = _repeat_rows(one, keys, hot)
+    right = _salt_rows(keyed, keys, hot).withColumn(_HIT, F.lit(True))
     joined = left.join(right, [*keys, _SALT], "left")
     return joined.filter(F.col(_HOT).isNull() | F.col(_HIT).isNotNull()).drop(_HOT, _HIT, _SALT)
 
@@ -113,25 +119,27 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def _mark(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), list(keys), "left")
+    # at most MAX_HOT_KEYS rows
+    return df.join(F.broadcast(hot), list(keys), "left")
 
 
-def _row_salt(df: DataFrame, skew: Skew) -> Column:
-    return F.pmod(F.xxhash64(*df.columns), F.lit(skew.salts)).cast("int")
+def _row_salt(df: DataFrame) -> Column:
+    salts = F.coalesce(F.col(_HOT), F.lit(NULL_SALTS))
+    return F.pmod(F.xxhash64(*df.columns), salts).cast("int")
 
 
-def _salt_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame, skew: Skew) -> DataFrame:
+def _salt_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """One salt per row; rows without a key are spread like those of a hot key."""
     spread = F.col(_HOT).isNotNull() | _any_null(keys)
-    salt = F.when(spread, _row_salt(df, skew)).otherwise(F.lit(0))
+    salt = F.when(spread, _row_salt(df)).otherwise(F.lit(0))
     return _mark(df, keys, hot).withColumn(_SALT, salt).drop(_HOT)
 
 
-def _repeat_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame, skew: Skew) -> DataFrame:
+def _repeat_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """A copy per salt for rows of hot keys, one row for all others."""
     copies = (
-        F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(skew.salts - 1)))
-        .when(_any_null(keys), F.array(_row_salt(df, skew)))
+        F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.col(_HOT) - 1))
+        .when(_any_null(keys), F.array(_row_salt(df)))
         .otherwise(F.array(F.lit(0)))
     )
     return _mark(df, keys, hot).withColumn(_SALT, F.explode(copies))

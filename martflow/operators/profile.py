@@ -171,10 +171,10 @@ def histograms(
 
     Numbers are taken as they are, dates as days. All columns share one scan for
     the limits and one for the counts; empty bins are listed with zero rows.
-    NULL and NaN fall in no bin.
+    NULL, NaN and infinities fall in no bin.
     """
     axes = {
-        f.name: _axis(f)
+        f.name: F.when(F.abs(_axis(f)) < float("inf"), _axis(f))
         for f in df.schema.fields
         if (columns is None or f.name in columns) and (_is_number(f) or _is_day(f))
     }

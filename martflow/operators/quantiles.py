@@ -41,7 +41,9 @@ def exact_quantiles(
 ) -> list[float]:
     """The smallest values whose share of rows at or below reaches each probability.
 
-    NULL and NaN do not count. The list is empty when there are no values.
+    NULL and NaN do not count. Infinities do, as the least and greatest values: they are
+    ranked apart, so that passes narrow finite intervals only. The list is empty when
+    there are no values.
     """
     if any(not 0 <= p <= 1 for p in probabilities):
         raise ValueError("probabilities must lie between 0 and 1")
@@ -49,11 +51,26 @@ def exact_quantiles(
     values = df.select(F.col(column).cast("double").alias("x")).filter(
         x.isNotNull() & ~F.isnan(x)
     )
-    total, low, high = values.agg(F.count(x), F.min(x), F.max(x)).first()
+    finite = F.abs(x) < float("inf")
+    total, least, low, high, inner = values.agg(
+        F.count(x),
+        F.count_if(x == float("-inf")),
+        F.min(F.when(finite, x)),
+        F.max(F.when(finite, x)),
+        F.count_if(finite),
+    ).first()
     if total == 0:
         return []
     ranks = [max(1, math.ceil(Fraction(str(p)) * total)) for p in probabilities]
-    found = [_Interval(low, high, 0) for _ in ranks]
+    values = values.filter(finite)
+    found = []
+    for rank in ranks:
+        if rank <= least:
+            found.append(_Interval(-math.inf, -math.inf, 0))
+        elif rank > least + inner:
+            found.append(_Interval(math.inf, math.inf, 0))
+        else:
+            found.append(_Interval(low, high, least))
     while True:
         pending = list(dict.fromkeys(i for i in found if i.low < i.high))
         if not pending:
@@ -72,10 +89,13 @@ def exact_quantiles(
             .collect()
         )
         parts = sorted(counted, key=lambda row: (row["slot"], row["bin"]))
+        before = found
         found = [
             _narrow(interval, rank, [p for p in parts if pending[p["slot"]] == interval])
             for interval, rank in zip(found, ranks)
         ]
+        if found == before:
+            raise RuntimeError(f"no bin of {column} holds the wanted rank")
 
 
 def _narrow(interval: _Interval, rank: int, parts: list) -> _Interval:

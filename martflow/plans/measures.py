@@ -128,7 +128,10 @@ def _by_product(mart: DataFrame):
 def customer_summary(mart: DataFrame) -> DataFrame:
     """One row per customer with an order."""
     known = _sales(mart).filter(F.col("customer_id").isNotNull())
-    return known.groupBy("customer_id", "customers_state").agg(
+    # the state hangs on the customer; it is carried only where the mart has it
+    state = [F.any_value("customers_state").alias("customers_state")] * ("customers_state" in mart.columns)
+    return known.groupBy("customer_id").agg(
+        *state,
         _orders().alias("orders"),
         F.coalesce(money(NET), F.lit(0.0)).alias("revenue"),
         F.min("ordered_date").alias("first_order"),

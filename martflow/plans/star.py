@@ -94,8 +94,9 @@ def uncovered_dates(
 
 def order_lines(orders: DataFrame, items: DataFrame, skew: Skew = DEFAULT_SKEW) -> DataFrame:
     """Orders with their lines; an order without lines keeps one row."""
-    lines = drop_audit_columns(items).drop("item_id")
-    return expand_join(drop_audit_columns(orders), lines, "order_id", skew=skew)
+    lines = drop_audit_columns(items)
+    # the line's number tells equal lines of a hot order apart until they are joined
+    return expand_join(drop_audit_columns(orders), lines, "order_id", skew=skew).drop("item_id")
 
 
 def order_fact(

@@ -53,10 +53,40 @@ def scan_table(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The old columns in their order, then those that are new."""
+    """The old columns in their order, then those that are new.
+
+    A column whose new type differs must fit the old one: a published type stays, and
+    values that it cannot hold would be cut unnoticed.
+    """
+    for field in new.fields:
+        if field.name in old.names and not _fits(field.dataType, old[field.name].dataType):
+            raise ValueError(
+                f"column {field.name} is published as {old[field.name].dataType.simpleString()}, "
+                f"which cannot hold {field.dataType.simpleString()}"
+            )
     return T.StructType([*old.fields, *(f for f in new.fields if f.name not in old.names)])
 
 
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _fits(new: T.DataType, old: T.DataType) -> bool:
+    """Whether every value of the new type is one of the old type."""
+    if new == old or isinstance(new, T.NullType) or isinstance(old, T.StringType):
+        return True
+    kind = type(new)
+    if kind in _WHOLE:
+        digits = _WHOLE[kind]
+        if type(old) in _WHOLE:
+            return digits <= _WHOLE[type(old)]
+        if isinstance(old, T.DecimalType):
+            return digits <= old.precision - old.scale
+        return isinstance(old, T.DoubleType) and digits < 16
+    if kind is T.DecimalType and isinstance(old, T.DecimalType):
+        return new.scale <= old.scale and new.precision - new.scale <= old.precision - old.scale
+    return kind is T.FloatType and isinstance(old, T.DoubleType)
+
+
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     """Exactly the target's columns, by name; absent ones are NULL.
 

@@ -814,6 +814,9 @@ ORACLE["kpi_customer_distribution"] = MART + (
 ORACLE["kpi_retention_state"] = MART + (
     f"SELECT customers_state, {retained(10)} FROM {_CUSTOMERS} GROUP BY customers_state"
 )
+ORACLE["kpi_retention_state_twice"] = MART + (
+    f"SELECT customers_state, {retained(2)} FROM {_CUSTOMERS} GROUP BY customers_state"
+)
 ORACLE["kpi_retention_yoy"] = MART.rstrip() + f""",
 active AS (SELECT DISTINCT customer_id, cast(year(ordered_date) AS int) AS year {_SALES}
            AND customer_id IS NOT NULL AND ordered_date IS NOT NULL)

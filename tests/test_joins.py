@@ -37,16 +37,36 @@ def orders(spark):
     return keyed.union(spark.sql("SELECT cast(NULL AS bigint), cast(-1 AS bigint)"))
 
 
-def test_hot_keys_are_bounded_and_heaviest_first(spark):
+def test_every_heavy_key_is_hot_and_salted_by_its_weight(spark):
     counts = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("rows"))
-    found = hot_keys(counts, ["k"], Skew(min_hot_rows=1))
-    assert found.count() == MAX_HOT_KEYS
-    assert found.agg(F.min("k")).first()[0] == 2000
+    found = hot_keys(counts, ["k"], Skew(min_hot_rows=1500, salts=1)).collect()
+    assert len(found) == 1501  # no key is left out for there being many
+    assert {r["k"]: r["__hot"] for r in found}[2999] == 2
+    assert len(found) <= MAX_HOT_KEYS
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    counts = spark.range(10).select(F.col("id").alias("k"), F.lit(5).alias("rows"))
+    heavy = spark.createDataFrame([(100, 5 * MAX_HOT_KEYS)], "k bigint, rows int")
+    found = hot_keys(counts.union(heavy), ["k"], Skew(min_hot_rows=1, salts=3)).collect()
+    assert [r["k"] for r in found] == [100]
 
 
 def test_hot_keys_leave_out_null(lines):
     found = hot_keys(count_keys(lines, ["order_id"]), ["order_id"], Skew(min_hot_rows=10))
-    assert rows(found) == [(7,)]
+    assert [r["order_id"] for r in found.collect()] == [7]
+
+
+def test_spread_inner_join_is_the_inner_join(lines, orders, no_broadcast):
+    expected = lines.join(orders, "order_id", "inner")
+    assert rows(lookup_join(lines, orders, "order_id", skew=SPREAD, how="inner")) == rows(expected)
+    assert rows(lookup_join(lines, orders, "order_id", how="inner")) == rows(expected)
+
+
+def test_inner_join_keeps_partners_without_a_name(spark):
+    many = spark.createDataFrame([(1,), (2,), (3,)], "store_id int")
+    one = spark.createDataFrame([(1, "a"), (2, None)], "store_id int, store_name string")
+    assert rows(lookup_join(many, one, "store_id", how="inner")) == [(1, "a"), (2, None)]
 
 
 def test_spread_lookup_join_is_the_left_join(lines, orders, no_broadcast):
