@@ -89,15 +89,19 @@ def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
-    """Aligned places of two word lists, rising on both sides."""
+    """Aligned places of two word lists, rising on both sides.
+
+    Equal words at the ends of a gap count only next to an anchor: at the ends of the
+    lists a stray word would stretch the match.
+    """
     out: list[tuple[int, int]] = []
-    gaps = [(0, len(a), 0, len(b))]
+    gaps = [(0, len(a), 0, len(b), False, False)]
     while gaps:
-        a0, a1, b0, b1 = gaps.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+        a0, a1, b0, b1, after, before = gaps.pop()
+        while after and a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             out.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+        while before and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             out.append((a1, b1))
         if a0 == a1 or b0 == b1:
@@ -108,10 +112,10 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
         anchors = _in_order([(i, where[w]) for i, w in enumerate(a[a0:a1], a0) if w in one])
         out += anchors
         for i, j in anchors:
-            gaps.append((a0, i, b0, j))
-            a0, b0 = i + 1, j + 1
+            gaps.append((a0, i, b0, j, after, True))
+            a0, b0, after = i + 1, j + 1, True
         if anchors:
-            gaps.append((a0, a1, b0, b1))
+            gaps.append((a0, a1, b0, b1, True, before))
     return sorted(out)
 
 

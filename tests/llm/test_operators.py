@@ -366,11 +366,13 @@ def test_license_scan(spark, odd, empty):
         (2, "x " * 50 + mit.replace("without restriction", "") + " y" * 50),
         (3, "the work of the license and the version of this"),
         (4, "Licensed under the Apache License, Version 2.0."),
+        (5, "this stray word, then five more. This work is licensed under the GNU General Public License, version 3."),
     ]
     found = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
     assert (found[1]["license"], found[1]["n_matches"], found[1]["coverage"]) == ("mit-notice", 2, 1.0)
     assert found[2]["license"] == "mit" and found[2]["coverage"] > 0.9
     assert found[3]["license"] is None and found[4]["license"] == "apache-2.0-notice"
+    assert (found[5]["license"], found[5]["matches"]) == ("gpl-3.0-notice", "gpl-3.0-notice:6:18")
     a, b = "a b c d e f g".split(), "x b c y e a g".split()
     assert [p for p in licenses.align(a, b)] == [(1, 1), (2, 2), (4, 4), (6, 6)]
     assert licenses.license_scan(odd).count() == 10 and licenses.license_scan(empty).count() == 0
