@@ -77,33 +77,43 @@ def products_dim(products="src_products", brands="src_brands", categories="src_c
 
 
 def mart(stores="src_stores", staffs="src_staffs", customers="src_customers") -> str:
-    return f"""mart AS (
-  SELECT f.order_id, f.customer_id, f.order_status, f.quantity, f.discount,
-         f.list_price AS order_list_price,
-         pd.product_id, pd.product_name, pd.model_year, pd.brand_name, pd.category_name,
-         pd.list_price AS product_list_price,
-         sd.* EXCLUDE (store_id), sf.* EXCLUDE (staff_id, store_id), cd.* EXCLUDE (customer_id),
-         ss.status,
-         d1."date" AS ordered_date, d2."date" AS required_date, d3."date" AS shipped_date,
-         f.list_price * f.quantity AS revenue_per_product,
-         cast(d3."date" - d2."date" AS int) AS delay_time,
-         f.list_price * (1 - f.discount) AS price_after_discount,
-         (f.list_price * (1 - f.discount)) * f.quantity AS revenue_after_discount,
-         cast(d3."date" - d1."date" AS int) AS days_to_ship,
-         CASE WHEN d3."date" IS NOT NULL THEN 1 ELSE 0 END AS fulfilled_order_flag,
-         CASE WHEN f.list_price * f.quantity > 1000000 THEN 1 ELSE 0 END AS high_value_order_flag,
-         CASE WHEN f.customer_id IN (SELECT customer_id FROM fact GROUP BY customer_id
-                                     HAVING count(order_id) > 40) THEN 1 ELSE 0 END
-           AS frequent_customer_flag
-  FROM fact f
-  FULL OUTER JOIN products_dim pd ON f.product_id = pd.product_id
-  LEFT JOIN {prefixed("stores", stores)} sd ON f.store_id = sd.store_id
-  LEFT JOIN {prefixed("staffs", staffs)} sf ON f.staff_id = sf.staff_id
-  LEFT JOIN {prefixed("customers", customers)} cd ON f.customer_id = cd.customer_id
-  LEFT JOIN statuses ss ON f.order_status = ss.status_id
-  LEFT JOIN calendar d1 ON f.order_date_id = d1.date_id
-  LEFT JOIN calendar d2 ON f.required_date_id = d2.date_id
-  LEFT JOIN calendar d3 ON f.shipped_date_id = d3.date_id)"""
+    """The mart in stages: who buys often, dates by role, products or the lack of sales, attributes, amounts."""
+    return f"""buyers AS (
+  SELECT customer_id, CASE WHEN count(order_id) > 40 THEN 1 ELSE 0 END AS often
+  FROM fact WHERE customer_id IS NOT NULL GROUP BY ALL),
+timed AS (
+  SELECT fact.* EXCLUDE (order_date_id, required_date_id, shipped_date_id),
+         max(c."date") FILTER (c.date_id = order_date_id) AS ordered_date,
+         max(c."date") FILTER (c.date_id = required_date_id) AS required_date,
+         max(c."date") FILTER (c.date_id = shipped_date_id) AS shipped_date
+  FROM (SELECT *, row_number() OVER () AS line FROM fact) fact
+  LEFT JOIN calendar c ON c.date_id IN (order_date_id, required_date_id, shipped_date_id)
+  GROUP BY ALL),
+stocked AS (
+  SELECT timed.* EXCLUDE (line, product_id, list_price), timed.list_price AS order_list_price,
+         p.* EXCLUDE (list_price), p.list_price AS product_list_price
+  FROM timed LEFT JOIN products_dim p USING (product_id)
+  UNION ALL BY NAME
+  SELECT p.* EXCLUDE (list_price), p.list_price AS product_list_price
+  FROM products_dim p ANTI JOIN fact USING (product_id)),
+known AS (
+  SELECT stocked.*, statuses.status, coalesce(buyers.often, 0) AS frequent_customer_flag,
+         c.* EXCLUDE (customer_id), w.* EXCLUDE (staff_id, store_id), s.* EXCLUDE (store_id)
+  FROM stocked
+  LEFT JOIN statuses ON statuses.status_id = stocked.order_status
+  LEFT JOIN buyers ON buyers.customer_id = stocked.customer_id
+  LEFT JOIN {prefixed("customers", customers)} c ON c.customer_id = stocked.customer_id
+  LEFT JOIN {prefixed("staffs", staffs)} w ON w.staff_id = stocked.staff_id
+  LEFT JOIN {prefixed("stores", stores)} s ON s.store_id = stocked.store_id),
+mart AS (
+  SELECT * EXCLUDE (store_id, staff_id), order_list_price * quantity AS revenue_per_product,
+         order_list_price * (1 - discount) AS price_after_discount,
+         (order_list_price * (1 - discount)) * quantity AS revenue_after_discount,
+         cast(shipped_date - required_date AS int) AS delay_time,
+         cast(shipped_date - ordered_date AS int) AS days_to_ship,
+         (shipped_date IS NOT NULL)::int AS fulfilled_order_flag,
+         coalesce(order_list_price * quantity > 1000000, false)::int AS high_value_order_flag
+  FROM known)"""
 
 
 MART_COLUMNS = (
