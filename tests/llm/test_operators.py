@@ -423,3 +423,19 @@ def test_pipeline_stages(spark, sf_dir):
         assert 0 < out.count() <= rows
         docs, rows = out, out.count()
     assert pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").distinct().count() == rows
+
+
+def test_line_dedup_of_long_and_rewritten_lines(spark):
+    """Near the threshold at all lengths; other case, order, repeats and spacing make the same set."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (1, 4, 5, 9, 40, 129, 300):
+        base = [f"{n}x{i}" for i in range(n)]
+        rows.append((len(rows), " ".join(base)))
+        for changed in sorted({0, n // 9 - 1, n // 9, n // 9 + 1, n // 5, n // 5 + 1} & set(range(n + 1))):
+            some = [f"{n}y{changed}z{i}" if i < changed else w for i, w in enumerate(rng.permutation(base))]
+            rows.append((len(rows), "  ".join(some).upper() + " " + some[0]))
+            rows.append((len(rows), " ".join(some[changed:])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["removed_lines"] for r in lines.dedup_lines(df).collect()}
+    assert {k: v for k, v in found.items() if v} == _late(rows)
