@@ -17,8 +17,11 @@ column-wise construction is cut down to them:
   to the right and to the left of the anchor, and refines the ranks of all contexts by
   it. After d rounds two contexts have the same rank if their common prefix has d symbols;
   two strings are equal if both ranks agree at their lengths.
+* Hot anchors, those with most of the different runs, are not sorted by one task: their runs are taken
+  apart into strings, which are settled by their hashes, in a block and then dealt by them.
+  They are found in a sample; it decides where a run is settled, not whether.
 
-Texts are read twice and shuffled once; the two joins with the texts use the same shuffle.
+Texts are read twice, a sample of them thrice, and shuffled once; the two joins with the texts use the same shuffle.
 """
 
 from __future__ import annotations
@@ -40,9 +43,17 @@ ANCHOR = 40
 #: Strings of a block that are looked at together; places within them take 24 bits.
 PIECE = 1 << 21
 _PLACE_BITS = 24
+#: One of so many short texts, and of pieces of long ones, is in the sample for hot anchors.
+SAMPLE, SAMPLE_BYTES = 32, 1 << 14
+#: Different runs in the sample that make an anchor hot, and how many hot anchors there are at most.
+HOT_RUNS, HOT_ANCHORS = 16, 100_000
+#: Contexts that are sorted together, at about 3 KB each, unless one anchor has more.
+SORTED = 1 << 12
 _RUN = np.dtype(
     [("anchor", "<u8"), ("run", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("lead", "<u2"), ("size", "<u2")]
 )
+#: What a dealt row holds: runs by their anchor, settled runs by document, strings of hot anchors by hash.
+_RUNS, _SETTLED, _STRINGS = 0, 1, 2
 _FOUND = "doc bigint, open boolean, start bigint, size int, lead int, anchor bigint"
 _GONE = "doc bigint, start bigint, end bigint"
 
@@ -95,9 +106,50 @@ def _repeated(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, again
 
 
-def _dealt(found: np.ndarray, parts: int, extra: list[bytes] | None = None) -> pa.RecordBatch:
-    """Records as one binary row for each part of the anchors."""
-    part = (scatter(found["anchor"]) % np.uint64(parts)).astype(np.int64)
+def strings(data: np.ndarray, offsets: np.ndarray, found: np.ndarray, length: int) -> np.ndarray:
+    """The strings of some runs of a block, each as a run of its own."""
+    begin = offsets[found["doc"]] + found["start"]
+    order = np.argsort(begin, kind="stable")
+    found, begin = found[order], begin[order]
+    out = []
+    edges = np.searchsorted(begin, np.arange(0, len(data) + PIECE, PIECE))
+    for low, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        if a == b:
+            continue
+        own, at = found[a:b], begin[a:b] - low * PIECE
+        many = own["size"].astype(np.int64) - length + 1
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        single = np.repeat(own, many)
+        at = np.repeat(at, many) + step
+        last = int(at.max()) + length
+        single["run"] = spans(running(data[low * PIECE : low * PIECE + last]), at, at + length)
+        single["start"] += step.astype(np.uint32)
+        single["lead"] -= step.astype(np.uint16)
+        single["size"] = length
+        out.append(single)
+    return np.concatenate(out) if out else np.zeros(0, _RUN)
+
+
+def _joined(single: np.ndarray, length: int) -> np.ndarray:
+    """Neighbouring strings of one run as one record."""
+    single = single[np.lexsort((single["start"], single["doc"]))]
+    new = np.ones(len(single), bool)
+    new[1:] = (
+        (single["doc"][1:] != single["doc"][:-1])
+        | (single["anchor"][1:] != single["anchor"][:-1])
+        | (single["start"][1:] != single["start"][:-1] + 1)
+        | (single["lead"][1:] + 1 != single["lead"][:-1])
+    )
+    first = np.flatnonzero(new)
+    out = single[first]
+    out["size"] = np.diff(np.append(first, len(single))) + length - 1
+    return out
+
+
+def _dealt(found: np.ndarray, parts: int, extra: list[bytes] | None = None, by: np.ndarray | None = None) -> pa.RecordBatch:
+    """Records as one binary row for each part of the anchors, or of other numbers."""
+    by = found["anchor"] if by is None else by
+    part = (scatter(by) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     found, part = found[order], part[order]
     first = np.flatnonzero(np.diff(part, prepend=-1))
@@ -137,27 +189,71 @@ def _found_batch(found: np.ndarray, open_: bool) -> pa.RecordBatch:
     )
 
 
+def _hot_anchors(texts: DataFrame, length: int, anchor: int) -> np.ndarray:
+    """Anchors with many different runs in a sample of the texts, in order."""
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for row, offsets, data in blocks(batch.column(1)):
+                for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                    places = np.arange(a, b, SAMPLE_BYTES)
+                    if b - a > SAMPLE_BYTES:
+                        marks = scatter(keys[row + i : row + i + 1].view(np.uint64) + places.astype(np.uint64) - np.uint64(a))
+                        places = places[marks % np.uint64(SAMPLE) == 0]
+                    for low in places.tolist():
+                        part = data[low : min(b, low + SAMPLE_BYTES + length - 1)]
+                        found = runs(part, np.array([0, len(part)]), length, anchor)
+                        columns = [pa.array(found[x].view(np.int64) if len(found) else [], pa.int64()) for x in ("anchor", "run")]
+                        yield pa.RecordBatch.from_arrays(columns, ["anchor", "run"])
+
+    some = texts.filter((F.octet_length("text") > SAMPLE_BYTES) | (F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0))
+    found = some.mapInArrow(sampled, "anchor bigint, run bigint").distinct().groupBy("anchor").count()
+    hot = found.filter(F.col("count") >= HOT_RUNS).orderBy(F.desc("count"), "anchor").limit(HOT_ANCHORS).collect()
+    return np.sort(np.array([r["anchor"] for r in hot], np.int64).view(np.uint64))
+
+
 def _classes(texts: DataFrame, length: int, anchor: int, parts: int) -> DataFrame:
-    """Runs that repeat an earlier run, and, as ``open``, those whose anchor has other runs too."""
+    """Runs that repeat an earlier run, and, as ``open``, those whose anchor has other runs too.
+
+    The runs of hot anchors are settled string by string, so none of them is open.
+    """
+    hot = _hot_anchors(texts, length, anchor)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for row, offsets, data in blocks(batch.column(1)):
                 found = runs(data, offsets, length, anchor)
-                found["doc"] = keys[row + found["doc"]]
+                doc = found["doc"].copy()
+                found["doc"] = keys[row + doc]
+                order = np.lexsort((found["start"], found["doc"], found["run"], found["anchor"]))
                 found, again = _repeated(found)
-                # repeats within the block travel with the others, marked by a size of 0
-                rest = _dealt(found[~again], parts)
-                yield _tagged(rest, False)
-                yield _tagged(_dealt(found[again], parts), True)
+                gone, found, doc = found[again], found[~again], doc[order][~again]
+                taken = np.isin(found["anchor"], hot)
+                if taken.any():
+                    own = found[taken]
+                    own["doc"] = doc[taken]
+                    single = strings(data, offsets, own, length)
+                    single["doc"] = keys[row + single["doc"]]
+                    single, again = _repeated(single)
+                    gone = np.concatenate([gone, _joined(single[again], length)])
+                    single = single[~again]
+                    yield _tagged(_dealt(single, parts, by=single["run"]), _STRINGS)
+                yield _tagged(_dealt(found[~taken], parts), _RUNS)
+                # what is settled has no need to meet its anchor
+                yield _tagged(_dealt(gone, parts, by=gone["doc"].view(np.uint64)), _SETTLED)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _gathered(batches):
-            known = [np.frombuffer(b, _RUN) for b, gone in rows if gone]
+            known = [np.frombuffer(b, _RUN) for b, kind in rows if kind == _SETTLED]
             if known:
                 yield _found_batch(np.concatenate(known), False)
-            left = [np.frombuffer(b, _RUN) for b, gone in rows if not gone]
+            single = [np.frombuffer(b, _RUN) for b, kind in rows if kind == _STRINGS]
+            if single:
+                found, again = _repeated(np.concatenate(single))
+                yield _found_batch(_joined(found[again], length), False)
+            left = [np.frombuffer(b, _RUN) for b, kind in rows if kind == _RUNS]
             if not left:
                 continue
             found, again = _repeated(np.concatenate(left))
@@ -169,14 +265,14 @@ def _classes(texts: DataFrame, length: int, anchor: int, parts: int) -> DataFram
             several[:-1] |= same
             yield _found_batch(found[several], True)
 
-    dealt = texts.mapInArrow(first, "part bigint, runs binary, gone boolean")
+    dealt = texts.mapInArrow(first, "part bigint, runs binary, kind int")
     dealt = dealt.repartition("part").sortWithinPartitions("part")
     return dealt.mapInArrow(second, _FOUND)
 
 
-def _tagged(batch: pa.RecordBatch, gone: bool) -> pa.RecordBatch:
-    flag = pa.array(np.full(len(batch), gone))
-    return pa.RecordBatch.from_arrays([*batch.columns, flag], ["part", "runs", "gone"])
+def _tagged(batch: pa.RecordBatch, kind: int) -> pa.RecordBatch:
+    flag = pa.array(np.full(len(batch), kind, np.int32))
+    return pa.RecordBatch.from_arrays([*batch.columns, flag], ["part", "runs", "kind"])
 
 
 def _ranks(group: np.ndarray, symbols: np.ndarray) -> list[np.ndarray]:
@@ -223,6 +319,19 @@ def common_strings(found: np.ndarray, data: np.ndarray, length: int, anchor: int
     return found["doc"][row], at - high, at - low + length
 
 
+def _whole_anchors(anchors: np.ndarray) -> Iterator[slice]:
+    """Slices of sorted anchors that hold each anchor whole and, with several anchors, at most ``SORTED`` rows."""
+    edges = [*np.flatnonzero(np.diff(anchors)) + 1, len(anchors)]
+    low = high = 0
+    for edge in edges:
+        if edge - low > SORTED and high > low:
+            yield slice(low, high)
+            low = high
+        high = int(edge)
+    if high > low:
+        yield slice(low, high)
+
+
 def _open_spans(texts: DataFrame, found: DataFrame, length: int, anchor: int, parts: int) -> DataFrame:
     """Repeats among the runs that are open."""
     wanted = found.filter("open").groupBy("doc").agg(
@@ -248,9 +357,14 @@ def _open_spans(texts: DataFrame, found: DataFrame, length: int, anchor: int, pa
     def sorted_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _gathered(batches):
             own = np.concatenate([np.frombuffer(a, _RUN) for a, _ in rows])
-            data = np.frombuffer(b"".join(b for _, b in rows), np.uint8)
-            doc, start, end = common_strings(own, data, length, anchor)
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(end)], ["doc", "start", "end"])
+            data = b"".join(b for _, b in rows)
+            ends = np.cumsum(own["size"].astype(np.int64))
+            order = np.argsort(own["anchor"], kind="stable")
+            for few in _whole_anchors(own["anchor"][order]):
+                some = order[few]
+                cells = b"".join(data[b - n : b] for b, n in zip(ends[some].tolist(), own["size"][some].tolist(), strict=True))
+                doc, start, end = common_strings(own[some], np.frombuffer(cells, np.uint8), length, anchor)
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(end)], ["doc", "start", "end"])
 
     joined = texts.join(wanted, "doc").select("doc", "text", "runs")
     dealt = joined.mapInArrow(contexts, "part bigint, runs binary, bytes binary")

@@ -234,6 +234,34 @@ def test_repeats_equal_brute_force(spark, texts):
         assert hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"]
 
 
+def test_repeats_of_a_passage_in_many_surroundings(spark):
+    """No anchor of a large group of near copies is left to be sorted by one task."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefgh "))
+    base = "".join(rng.choice(letters, 260))
+    rows = []
+    for i in range(3000):
+        changed = "".join(rng.choice(letters, 60))
+        rows.append((i, changed + base[:130] + (f"{i:04d}" if i % 3 else "") + base[130:] + changed[::-1]))
+    # a long text that holds the passage many times
+    rows.append((5000, "".join(f"{i:05d}" + base[20:150] + f"{7 * i:06d}" for i in range(2000))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    wanted = _repeats(rows)
+    for r in repeats.without_repeats(df).collect():
+        removed = sum(x["end"] - x["start"] for x in r["spans"])
+        assert (r["n_bytes"], removed, len(r["spans"]), r["kept_sha256"]) == wanted[r["doc_id"]]
+    found = repeats._classes(df.withColumnRenamed("doc_id", "doc"), repeats.LENGTH, repeats.ANCHOR, 8)
+    most = found.filter("open").groupBy("anchor").count().agg(F.max("count")).first()[0]
+    assert (most or 0) < 1500
+
+
+def test_contexts_are_sorted_by_whole_anchors():
+    anchors = np.repeat(np.arange(5, dtype=np.uint64), [3, repeats.SORTED + 5, 2, repeats.SORTED - 2, 1])
+    found = [(x.start, x.stop) for x in repeats._whole_anchors(anchors)]
+    n = repeats.SORTED
+    assert found == [(0, 3), (3, n + 8), (n + 8, 2 * n + 8), (2 * n + 8, 2 * n + 9)]
+
+
 def test_repeats_of_odd_rows(odd, empty):
     found = repeats.without_repeats(odd).collect()
     size = {r["doc_id"]: r["n_bytes"] for r in found}
