@@ -1,8 +1,8 @@
 """I-Match fingerprints: hashes of the mid-frequency terms of a text.
 
 The lexicon holds the terms whose inverse document frequency lies in a band. It is
-broadcast: as every term in it occurs in at least ``MIN_SHARE`` of all rows, it has at most
-(mean distinct terms of a row) / MIN_SHARE terms, however many rows there are.
+broadcast: as every term in it occurs in at least ``MIN_SHARE`` of all different texts, it has at
+most (mean distinct terms of a text) / MIN_SHARE terms, however many texts there are.
 
 Lexicon terms are dealt by their hash into subsets, at several densities: in the
 densest scale each of ``CELLS`` subsets holds 1 / CELLS of the lexicon, and each
@@ -11,6 +11,11 @@ one hash per subset, over its distinct terms of the subset in order. Texts are a
 the share of subsets, among those that either text has terms of, with equal hashes. The scale
 with the largest share counts, as a long text has too many terms in a dense subset for
 any edit to leave its hash alone, and a short text none in a sparse one.
+
+A large group of near copies takes its own terms out of the band, and a text may have rarer
+terms only. A text with too few terms in the band is known by its sketch instead: the ``SKETCH`` least
+hashes of all its terms, dealt into ``CELLS`` subsets. A pair with such a text is compared by the
+sketches of both.
 """
 
 from __future__ import annotations
@@ -19,13 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.operators.keys import surrogate_keys
+from martflow.llm import tables
 from martflow.sources.workdir import store
 
-#: The band, as shares of all rows that have the term: an IDF from ln 12.5 to ln 1000.
+#: The band, as shares of the different texts that have the term: an IDF from ln 12.5 to ln 1000.
 MIN_SHARE, MAX_SHARE = 0.001, 0.08
 SCALES, CELLS = 4, 16
 #: Subsets that a scale must have terms in to count by itself.
 LEAST_CELLS = 4
+#: Terms of a sketch. A text needs so many terms in the band, and such a part of its terms, to do without.
+SKETCH, FEW_TERMS, FEW_PART = 24, 8, 16
 #: Stands for no term: each text has it, which keeps texts without lexicon terms.
 _PRESENT = 0
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,13 +48,27 @@ def terms(text: Column) -> Column:
 def lexicon(
     df: DataFrame, text: str, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE
 ) -> DataFrame:
-    """Hashes ``term`` of the terms in the band, counted over all rows."""
-    total = df.count()
-    counts = df.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").count()
+    """Hashes ``term`` of the terms in the band, counted over the different texts."""
+    total = df.select(F.xxhash64(text)).distinct().count()
+    counts = df.select(text).distinct().select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").count()
     band = counts.filter(
         (F.col("count") >= min_share * total) & (F.col("count") <= max_share * total)
     ).filter(F.col("count") > 1)
-    return band.select("term")
+    return tables.store(band.select("term"), "lexicon")
+
+
+def _mark(term: Column) -> Column:
+    """The part of a term's hash that orders it for a sketch."""
+    return F.shiftright(term, 32).cast("int")
+
+
+def _sketch_cells(found: str) -> Column:
+    """Subset hashes of a sketch, 0 for a subset without terms."""
+    out = []
+    for cell in range(CELLS):
+        part = F.sort_array(F.filter(found, lambda x: x.bitwiseAND(F.lit(CELLS - 1)) == cell))
+        out.append(F.when(F.size(part) > 0, _short(F.xxhash64(part))).otherwise(F.lit(0)))
+    return F.array(*out)
 
 
 def _short(mark: Column) -> Column:
@@ -96,6 +118,23 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return marked.select(*held, alike.alias(name))
 
 
+def _with_near(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Adds the likeness of two texts, by their sketches where either has few terms in the band.
+
+    A text is three columns, ``{a}print``, ``{a}sketch`` and ``{a}few``.
+    """
+    held = [c for c in df.columns]
+    marks = F.zip_with(
+        f"{a}sketch", f"{b}sketch", lambda x, y: F.when((x == 0) & (y == 0), 0).when(x == y, 2).otherwise(1)
+    )
+    marked = with_likeness(df.withColumn("sketch_marks", marks), f"{a}print", f"{b}print", "by_band")
+    full = F.size(F.filter("sketch_marks", lambda m: m > 0))
+    by_sketch = F.size(F.filter("sketch_marks", lambda m: m > 1)) / F.greatest(full, F.lit(1))
+    near = F.when(F.col(f"{a}print") == F.col(f"{b}print"), 1.0)
+    near = near.when(F.col(f"{a}few") | F.col(f"{b}few"), by_sketch).otherwise(F.col("by_band"))
+    return marked.select(*held, near.alias(name))
+
+
 def _shown(found: Column) -> Column:
     """Subset hashes as text: eight hex digits, or a dash for a subset without terms."""
     return F.array_join(
@@ -135,8 +174,8 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
     The edited text ends, in place of its last quarter, with the beginning of the next
     document. Documents are ordered by key, NULL first, then by a hash of the text;
     rows with the same key and text are one document, and each gives its own row.
-    NULL is the empty text. A text without lexicon terms has the hash of the whole
-    text for a fingerprint, so it is like equal texts only.
+    NULL is the empty text. A text with few lexicon terms has its sketch for a fingerprint, and
+    one without any terms the hash of the whole text, so it is like equal texts only.
 
     Returns ``(key, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next)``.
@@ -175,46 +214,66 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
             F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")),
         )).alias("x"),
     )
+    each = each.select("*", F.col("x.which").alias("which"), terms(F.col("x.text")).alias("terms")).drop("x")
+    ranked = F.sort_array(F.transform("terms", _mark))
+    # before the terms are exploded, as each of their rows would hold them all otherwise
     each = each.select(
         "*",
-        F.col("x.which").alias("which"),
-        F.explode(F.concat(F.array(F.lit(_PRESENT).cast("bigint")), terms(F.col("x.text")))).alias("term"),
-    ).drop("x")
+        F.size("terms").alias("many"),
+        F.get(ranked, F.least(F.size("terms"), F.lit(SKETCH)) - 1).alias("last"),
+    )
+    each = each.withColumn("term", F.explode(F.concat(F.array(F.lit(_PRESENT).cast("bigint")), F.col("terms"))))
+    each = each.drop("terms")
     spark = df.sparkSession
     band = band.unionByName(spark.range(_PRESENT, _PRESENT + 1).select(F.col("id").alias("term"))).distinct()
-    # at most (mean distinct terms of a row) / MIN_SHARE terms
-    each = each.join(F.broadcast(band), "term")
+    # at most (mean distinct terms of a text) / MIN_SHARE terms
+    each = each.join(F.broadcast(band.withColumn("known", F.lit(True))), "term", "left")
+    low = (F.col("term") != _PRESENT) & (_mark(F.col("term")) <= F.col("last"))
+    each = each.withColumn("low", F.coalesce(low, F.lit(False))).filter("known OR low")
 
-    def gathered(which):
-        return F.collect_set(F.when((F.col("which") == which) & (F.col("term") != _PRESENT), F.col("term")))
+    def gathered(which, wanted, value):
+        mine = (F.col("which") == which) & (F.col("term") != _PRESENT) & F.col(wanted)
+        return F.collect_set(F.when(mine, value))
 
     once = (F.col("which") == 0) & (F.col("term") == _PRESENT)
     facts = ["id", "next_id", "n_chars", "edited_sha256", "edited_mark"]
     sets = each.groupBy(*own).agg(
-        gathered(0).alias("own"),
-        gathered(1).alias("edit"),
+        gathered(0, "known", F.col("term")).alias("own"),
+        gathered(1, "known", F.col("term")).alias("edit"),
+        gathered(0, "low", _mark(F.col("term"))).alias("own_low"),
+        gathered(1, "low", _mark(F.col("term"))).alias("edit_low"),
+        F.max(F.when(F.col("which") == 0, F.col("many"))).alias("own_many"),
+        F.max(F.when(F.col("which") == 1, F.col("many"))).alias("edit_many"),
         F.count(F.when(once, 1)).alias("rows"),
         *[F.max(F.when(once, F.col(c))).alias(c) for c in facts],
     )
 
-    def whole(found, cells, mark):
-        """Subset hashes, or the text's hash in the first two places."""
+    def few(found, many):
+        return F.size(found) < F.greatest(F.lit(FEW_TERMS), F.col(many) / FEW_PART)
+
+    def whole(few, cells, sketch, many, mark):
+        """Subset hashes, those of the sketch, or the text's hash in the first two places."""
         low, high = _short(F.col(mark)), _short(F.shiftrightunsigned(mark, 31))
         alone = F.concat(F.array(low, high), F.array_repeat(F.lit(0), SCALES * CELLS - 2))
-        return F.when(F.size(found) > 0, F.col(cells)).otherwise(alone)
-
-    marked = with_cells(with_cells(sets, "own", "cells"), "edit", "edited_cells")
-    marked = store(
-        marked.select(
-            *own, *facts, "rows",
-            whole("own", "cells", "mark").alias("print"),
-            whole("edit", "edited_cells", "edited_mark").alias("edited_print"),
-        ),
-        "prints",
+        sketched = F.concat(F.col(sketch), F.array_repeat(F.lit(0), (SCALES - 1) * CELLS))
+        return F.when(~F.col(few), F.col(cells)).when(F.col(many) > 0, sketched).otherwise(alone)
+
+    marked = with_cells(with_cells(sets, "own", "cells"), "edit", "edited_cells").select(
+        "*",
+        _sketch_cells("own_low").alias("sketch"), _sketch_cells("edit_low").alias("edited_sketch"),
+        few("own", "own_many").alias("few"), few("edit", "edit_many").alias("edited_few"),
     )
-    following = marked.select(F.col("id").alias("next_id"), F.col("print").alias("next_print"))
-    alike = with_likeness(marked, "print", "edited_print", "near_edited").join(following, "next_id")
-    alike = with_likeness(alike, "print", "next_print", "near_next")
+    marked = marked.select(
+        *own, *facts, "rows", "sketch", "few", "edited_sketch", "edited_few",
+        whole("few", "cells", "sketch", "own_many", "mark").alias("print"),
+        whole("edited_few", "edited_cells", "edited_sketch", "edit_many", "edited_mark").alias("edited_print"),
+    )
+    marked = store(marked, "prints")
+    following = marked.select(
+        F.col("id").alias("next_id"), *[F.col(c).alias(f"next_{c}") for c in ("print", "sketch", "few")]
+    )
+    alike = _with_near(marked, "", "edited_", "near_edited").drop("edited_sketch", "edited_few").join(following, "next_id")
+    alike = _with_near(alike, "", "next_", "near_next")
     return alike.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows"))).select(
         F.when(~F.col("none"), F.col("key")).alias(key),
         "n_chars",

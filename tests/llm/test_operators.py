@@ -309,6 +309,34 @@ def test_imatch(spark, docs, texts, odd, empty):
     assert imatch.edited_fingerprints(empty).count() == 0
 
 
+def test_imatch_of_a_group_of_near_copies(spark):
+    """A group that is a third of all rows has no term in the band, nor has a text of rare words."""
+    rng = np.random.default_rng(4)
+    base = [f"shared{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for j in rng.integers(0, len(base), 3):
+            words[int(j)] = f"edit{i}x{j}"
+        rows.append((i, " ".join(words)))
+    rows += [(300 + i, " ".join(f"other{x}" for x in rng.integers(0, 3000, 100))) for i in range(300)]
+    rows += [(600 + i, " ".join(f"rare{i}y{j}" for j in range(100))) for i in range(300)]
+    found = {r["doc_id"]: r for r in imatch.edited_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(found) == 900
+    copies = [found[i]["near_next"] for i in range(299)]
+    assert sum(x > 0 for x in copies) > 0.99 * 299 and np.mean(copies) > 0.5
+    for low in (300, 600):
+        assert np.mean([found[i]["near_edited"] for i in range(low, low + 299)]) > 0.25
+        assert np.mean([found[i]["near_next"] for i in range(low, low + 299)]) < 0.05
+
+
+def test_imatch_counts_a_text_once(spark):
+    rows = [(i, "alpha beta gamma") for i in range(50)] + [(50 + i, f"alpha w{i % 25} v{i}") for i in range(50)]
+    found = imatch.lexicon(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", 0.001, 0.5)
+    words = {r[0] for r in spark.sql("SELECT explode(transform(sequence(0, 24), x -> xxhash64('w' || x)))").collect()}
+    assert {r["term"] for r in found.collect()} == words
+
+
 def test_encoder_equals_library(texts):
     path = tokens.default_tokenizer()
     library = Tokenizer.from_file(path)
