@@ -61,6 +61,8 @@ TEMPLATES = {
 COMMON = frozenset(
     b"a above and any are as at by in is it may not of on or the this to under use with you 0 2 3 4".split()
 )
+# fixed values: words that tell one license from another, besides version numbers
+TELLING = frozenset(b"lesser affero nc nd sa noncommercial noderivatives noderivs sharealike".split())
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -68,6 +70,16 @@ def tokens(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def _tells(words: list[bytes], i: int) -> bool:
+    """Whether a word that a template does not have makes the text another license."""
+    before = words[i - 1] if i else b""
+    return (
+        words[i] in TELLING
+        or (words[i] == b"library" and before == b"gnu")
+        or (words[i].isdigit() and before in (b"version", b"v"))
+    )
+
+
 def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest part of pairs, sorted by the first number, in which the second rises."""
     tails: list[int] = []
@@ -127,6 +139,8 @@ class Template:
         self.opens = {
             w: i for i, w in enumerate(self.words) if counts[w] == 1 and w not in COMMON
         }
+        #: words that a match must have at one of their places at least
+        self.telling = {w for w in self.words if w in TELLING or w.isdigit()}
 
     def scan(self, words: list[bytes], hits: list[int]) -> Iterator[dict]:
         """Matches in a text; *hits* are the places of words that open windows of this template."""
@@ -149,10 +163,17 @@ class Template:
                 continue
             low, high = found[0][0] + first, found[-1][0] + first + 1
             coverage, density = len(found) / len(self.words), len(found) / (high - low)
-            if coverage >= MIN_COVERAGE and density >= MIN_DENSITY:
+            if coverage >= MIN_COVERAGE and density >= MIN_DENSITY and self._is_own(words, found, first, low, high):
                 end = high
                 yield {"license": self.name, "coverage": coverage, "first": low, "end": high}
 
+    def _is_own(self, words: list[bytes], found: list[tuple[int, int]], first: int, low: int, high: int) -> bool:
+        """Whether all telling words of the template are aligned and no other one is between them."""
+        aligned = {a + first for a, _ in found}
+        if not self.telling <= {self.words[b] for _, b in found}:
+            return False
+        return not any(i not in aligned and _tells(words, i) for i in range(low, high))
+
 
 def with_licenses(df: DataFrame, text: str, name: str, templates: dict[str, str] | None = None) -> DataFrame:
     """Adds all matches of a text, by place: ``(license, coverage, first, end)`` in word numbers.

@@ -434,6 +434,23 @@ def test_license_scan(spark, odd, empty):
     assert licenses.license_scan(odd).count() == 10 and licenses.license_scan(empty).count() == 0
 
 
+def test_other_versions_and_kinds_are_not_taken_for_a_license(spark):
+    gpl = licenses.TEMPLATES["gpl-3.0"]
+    texts = [
+        gpl.replace("version 3", "version 2"),
+        gpl.replace("GNU General", "GNU Lesser General"),
+        gpl.replace("GNU General", "GNU Affero General"),
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under CC BY-ND 4.0.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        licenses.TEMPLATES["apache-2.0"].replace("Version 2.0", "Version 1.1"),
+    ]
+    df = spark.createDataFrame([*enumerate(texts), *enumerate(licenses.TEMPLATES.values(), 100)], "doc_id int, text string")
+    found = {r["doc_id"]: r for r in licenses.license_scan(df).collect()}
+    assert [found[i]["license"] for i in range(len(texts))] == [None] * len(texts)
+    assert [found[i]["license"] for i in range(100, 100 + len(licenses.TEMPLATES))] == list(licenses.TEMPLATES)
+
+
 def _late(rows, similarity=0.8):
     seen, gone = [], {}
     for key, text in rows:
