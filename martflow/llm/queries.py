@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import imatch, licenses, lines, packing, phrases, pii, quality, repeats, simhash, token_files
+from martflow.llm import (
+    imatch,
+    licenses,
+    lines,
+    packing,
+    phrases,
+    pii,
+    quality,
+    repeats,
+    rules,
+    simhash,
+    token_files,
+)
+from martflow.llm.oracle import ORACLE as ORACLE
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +97,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.quality_rules(_table(spark, sf_dir, "documents"))
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_duplicates": op1,
     "op2_quality_scores": op2,
@@ -95,7 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8,
     "op9_packed_sequences": op9,
     "op10_line_dedup": op10,
+    "op11_host_rules": op11,
 }
-#: None of these is expressible in SQL alone or fast enough on whole tables; tests/llm holds
-#: them against brute force.
-ORACLE: dict[str, str] = {}
