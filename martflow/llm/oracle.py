@@ -65,4 +65,37 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM counts
 """
 
-ORACLE: dict[str, str] = {"op11_host_rules": OP11}
+OP13 = r"""
+WITH doc_terms AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), item_terms AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), sizes AS (
+    SELECT row, doc_id, count(*) AS n FROM doc_terms GROUP BY row, doc_id
+), corpus AS (
+    SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM sizes
+), postings AS (
+    SELECT row, term, count(*) AS tf FROM doc_terms GROUP BY row, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, corpus GROUP BY term, documents
+), scores AS (
+    SELECT item_id, row, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * documents) // terms))))::BIGINT AS score
+    FROM item_terms JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (row), corpus
+    GROUP BY item_id, row, doc_id
+), placed AS (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place
+    FROM scores WHERE score > 0
+)
+SELECT item_id, place::INT AS rank, doc_id, score FROM placed WHERE place <= 10
+"""
+
+ORACLE: dict[str, str] = {"op11_host_rules": OP11, "op13_ranked_search": OP13}

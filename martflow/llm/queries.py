@@ -17,6 +17,7 @@ from martflow.llm import (
     quality,
     repeats,
     rules,
+    search,
     simhash,
     token_files,
 )
@@ -103,6 +104,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *columns)
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_duplicates": op1,
     "op2_quality_scores": op2,
@@ -115,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packed_sequences": op9,
     "op10_line_dedup": op10,
     "op11_host_rules": op11,
+    "op13_ranked_search": op13,
 }
