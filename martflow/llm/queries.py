@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm import (
+    conversations,
     imatch,
     licenses,
     lines,
@@ -104,6 +105,37 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *columns)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults by the checksum of their key; NULLs become one space."""
+    space = F.lit(" ")
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    fault = F.crc32(name) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    bare = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    found = rows.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"), bare.alias("text"), fault.alias("fault")
+    ).filter("fault <> 0")
+    copies = F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))
+    return found.withColumn("copy", F.explode(copies)).drop("fault", "copy")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(damaged(rows))
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    found = repair.audit().join(
+        repair.digests().withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left"
+    )
+    found = found.withColumnRenamed("conv_id", "mended").drop("own")
+    every = rows.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("mended")), "left").select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -120,5 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packed_sequences": op9,
     "op10_line_dedup": op10,
     "op11_host_rules": op11,
+    "op12_conversation_repair": op12,
     "op13_ranked_search": op13,
 }
