@@ -23,6 +23,7 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def fits_broadcast(df: DataFrame) -> bool:
+def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
+    """Whether *df* is below the limit, by its measured *size* if that is given."""
     limit = broadcast_limit(df)
-    return limit > 0 and input_bytes(df) <= limit
+    return limit > 0 and (input_bytes(df) if size is None else size) <= limit

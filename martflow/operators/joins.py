@@ -69,16 +69,19 @@ def lookup_join(
     on: str | Sequence[str],
     *,
     counts: DataFrame | None = None,
+    size: int | None = None,
     skew: Skew = DEFAULT_SKEW,
     how: str = "left",
 ) -> DataFrame:
     """``many`` left or inner join ``one``, for keys that repeat in ``many``.
 
+    ``size`` is the measured size of ``one`` where it is known; else that of its inputs decides.
+
     ``counts`` (key, rows) gives the weight of the keys where ``many`` is itself a
     chain of joins that would have to run for it; it may come from the chain's base.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(one):
+    if fits_broadcast(one, size):
         return many.join(F.broadcast(one), keys, how)
     if input_bytes(many) < skew.min_bytes:
         return many.join(one, keys, how)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from martflow.operators.joins import DEFAULT_SKEW, Skew, count_keys, lookup_join
 from martflow.plans.star import FACT
+from martflow.sources.lookups import Calendar
+from martflow.sources.workdir import stage
 
 PARTS = ("products", "customers", "stores", "staffs", "status", "dates")
 
-# Date ids of the fact and the mart columns they become.
+# Date ids of the fact and the mart columns they become.
 ROLE_DATES = {
     "order_date_id": "ordered_date",
     "required_date_id": "required_date",
@@ -139,11 +141,15 @@ def build_mart(
     thresholds: Thresholds = Thresholds(),
     parts: Collection[str] = PARTS,
     skew: Skew = DEFAULT_SKEW,
+    calendar: Calendar | None = None,
 ) -> DataFrame:
     """Join the star and add the indicators.
 
     A measure may ask for the ``parts`` it reads, as Spark cannot drop a left join
-    with a dimension that it does not know to be unique.
+    with a dimension that it does not know to be unique. Customers with their flag are
+    stored and measured first, so that their own size decides how the fact meets them; the rest
+    is lazy. With the ``calendar`` of the star, the days of the three dates are computed from their
+    ids; without it they are looked up in the date dimension.
     """
     unknown = set(parts) - set(PARTS)
     if unknown:
@@ -156,10 +162,12 @@ def build_mart(
         return lookup_join(rows, dim, key, counts=count_keys(fact, [key]), skew=skew)
 
     if "customers" in parts:
-        buyers = customers_with_flag(star["customers_dim"], fact, thresholds)
+        buyers = stage(customers_with_flag(star["customers_dim"], fact, thresholds), "customers")
         # The aggregate behind the flag also tells which customers are hot.
         counts = customer_order_counts(fact)
-        rows = lookup_join(rows, buyers, "customer_id", counts=counts, skew=skew)
+        rows = lookup_join(
+            rows, buyers.table, "customer_id", counts=counts, size=buyers.size, skew=skew
+        )
     if "stores" in parts:
         rows = lookup(rows, star["stores_dim"], "store_id")
     if "staffs" in parts:
@@ -168,7 +176,13 @@ def build_mart(
         statuses = star["status_dim"].withColumnRenamed("status_id", "order_status")
         rows = lookup(rows, statuses, "order_status")
     if "dates" in parts:
-        rows = _with_role_dates(rows, star["date_dim"])
+        for id_column, name in ROLE_DATES.items():
+            if calendar is not None:
+                rows = rows.withColumn(name, calendar.date(F.col(id_column)))
+                continue
+            day = F.col("date").alias(name)
+            days = star["date_dim"].select(F.col("date_id").alias(id_column), day)
+            rows = lookup(rows, days, id_column)
     if "products" in parts:
         products = star["products_dim"].withColumnRenamed("list_price", "product_list_price")
         sold = with_products(rows, products, skew, count_keys(fact, ["product_id"]))
@@ -185,10 +199,3 @@ def build_mart(
         indicators["frequent_customer_flag"] = flags["frequent_customer_flag"]
     return rows.withColumns(indicators).drop("store_id", "staff_id", *ROLE_DATES)
 
-
-def _with_role_dates(rows: DataFrame, dates: DataFrame) -> DataFrame:
-    """The same calendar three times; it has one row per day and is broadcast."""
-    for id_column, name in ROLE_DATES.items():
-        days = dates.select(F.col("date_id").alias(id_column), F.col("date").alias(name))
-        rows = rows.join(F.broadcast(days), id_column, "left")
-    return rows

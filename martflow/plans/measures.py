@@ -66,8 +66,11 @@ def revenue_by_quarter(mart: DataFrame) -> DataFrame:
     return _by_quarter(mart).agg(money(NET).alias("revenue"))
 
 
-def revenue_by_state(mart: DataFrame) -> DataFrame:
-    return _sales(mart).groupBy("customers_state").agg(money(NET).alias("revenue"))
+def revenue_by_state(mart: DataFrame, customers: DataFrame) -> DataFrame:
+    """Summed per customer first, so that the state is joined to a row per customer."""
+    net = F.sum(F.col(NET).cast("decimal(18,4)")).alias("net")
+    totals = with_state(_sales(mart).groupBy("customer_id").agg(net), customers)
+    return totals.groupBy("customers_state").agg(F.sum("net").cast("double").alias("revenue"))
 
 
 def discount_impact(mart: DataFrame) -> DataFrame:
@@ -128,10 +131,7 @@ def _by_product(mart: DataFrame):
 def customer_summary(mart: DataFrame) -> DataFrame:
     """One row per customer with an order."""
     known = _sales(mart).filter(F.col("customer_id").isNotNull())
-    # the state hangs on the customer; it is carried only where the mart has it
-    state = [F.any_value("customers_state").alias("customers_state")] * ("customers_state" in mart.columns)
     return known.groupBy("customer_id").agg(
-        *state,
         _orders().alias("orders"),
         F.coalesce(money(NET), F.lit(0.0)).alias("revenue"),
         F.min("ordered_date").alias("first_order"),
@@ -139,6 +139,11 @@ def customer_summary(mart: DataFrame) -> DataFrame:
     )
 
 
+def with_state(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """The state of each customer; both sides have a row per customer."""
+    return per_customer.join(customers.select("customer_id", "customers_state"), "customer_id", "left")
+
+
 def customers_total(mart: DataFrame) -> DataFrame:
     return _sales(mart).agg(F.count_distinct("customer_id").alias("customers"))
 
@@ -168,8 +173,8 @@ def retention_rate(mart: DataFrame, min_orders: int = 2) -> DataFrame:
     return _retained(customer_summary(mart).groupBy(), min_orders)
 
 
-def retention_by_state(mart: DataFrame, min_orders: int = 2) -> DataFrame:
-    return _retained(customer_summary(mart).groupBy("customers_state"), min_orders)
+def retention_by_state(mart: DataFrame, customers: DataFrame, min_orders: int = 2) -> DataFrame:
+    return _retained(_summary_with_state(mart, customers).groupBy("customers_state"), min_orders)
 
 
 def retention_by_year(mart: DataFrame) -> DataFrame:
@@ -203,12 +208,16 @@ def retention_by_year(mart: DataFrame) -> DataFrame:
     return years.withColumn("retention_rate", _share("retained", "customers"))
 
 
-def customer_distribution(mart: DataFrame) -> DataFrame:
-    return customer_summary(mart).groupBy("customers_state").agg(
+def customer_distribution(mart: DataFrame, customers: DataFrame) -> DataFrame:
+    return _summary_with_state(mart, customers).groupBy("customers_state").agg(
         F.count(F.lit(1)).alias("customers")
     )
 
 
+def _summary_with_state(mart: DataFrame, customers: DataFrame) -> DataFrame:
+    return with_state(customer_summary(mart), customers)
+
+
 def customer_acquisition(mart: DataFrame) -> DataFrame:
     """Customers by the month of their first order."""
     month = F.trunc("first_order", "month").alias("month")

@@ -14,6 +14,7 @@ from martflow.operators.normalize import normalize_contacts
 from martflow.operators.nulls import cleanse_nulls
 from martflow.operators.outliers import Z_THRESHOLD, remove_outliers_chain
 from martflow.operators.quality import step_audit, valid_postal_codes
+from martflow.sources.lookups import Calendar
 from martflow.sources.workdir import store
 
 
@@ -26,6 +27,7 @@ class Setting:
     contact_mode: str = "null"
     int_type: str = "int"
     z_threshold: float = Z_THRESHOLD
+    calendar: Calendar = Calendar()
     store: Callable[[DataFrame], DataFrame] = store
 
 

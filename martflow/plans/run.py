@@ -12,7 +12,7 @@ from martflow.operators.profile import profile_tables
 from martflow.operators.quality import pk_report
 from martflow.plans.mart import Thresholds, build_mart
 from martflow.plans.recipes import Setting, cleanse_tables, prefix_tables
-from martflow.plans.star import DIMENSIONS, FACT, build_star
+from martflow.plans.star import DIMENSIONS, FACT, build_star, uncovered_dates
 from martflow.sources.catalog import (
     create_managed,
     publish_external,
@@ -21,7 +21,7 @@ from martflow.sources.catalog import (
 )
 from martflow.sources.landing import load_landing
 from martflow.sources.layers import DATA_MART, INFO_MART, STAGE1, STAGE2, Layers
-from martflow.sources.lookups import date_lookup_for, status_lookup
+from martflow.sources.lookups import calendar_of, status_lookup
 
 STAR_TABLES = (*DIMENSIONS, FACT)
 DATE_LOOKUP, STATUS_LOOKUP = "date_lookup", "shipping_lookup"
@@ -49,21 +49,32 @@ def run_key_report(
     return pk_report(stored, setting.contract, setting.int_type)
 
 
-def run_lookups(spark: SparkSession, layers: Layers) -> None:
-    """Staging 2; the calendar spans all dates of the orders."""
-    orders = layers.read(spark, STAGE1, "orders")
-    calendar = date_lookup_for(orders, ["order_date", "required_date", "shipped_date"])
-    layers.write(calendar, STAGE2, DATE_LOOKUP)
+def run_lookups(spark: SparkSession, layers: Layers, setting: Setting) -> None:
+    """Staging 2; the calendar is that of the setting.
+
+    Its first day may not differ from the one stored by an earlier run, as all date ids count from it.
+    """
+    calendar = setting.calendar
+    if layers.exists(spark, STAGE2, DATE_LOOKUP):
+        stored = calendar_of(layers.read(spark, STAGE2, DATE_LOOKUP))
+        if stored.first != calendar.first:
+            raise ValueError(f"date ids count from {stored.first}, not from {calendar.first}")
+    layers.write(calendar.table(spark), STAGE2, DATE_LOOKUP)
     layers.write(status_lookup(spark), STAGE2, STATUS_LOOKUP)
 
 
+def run_date_report(spark: SparkSession, layers: Layers, setting: Setting) -> DataFrame:
+    """Per date of the stored orders, the rows whose day the calendar lacks."""
+    return uncovered_dates(layers.read(spark, STAGE1, "orders"), setting.calendar)
+
+
 def run_star(
     spark: SparkSession, layers: Layers, contract: Contract, skew: Skew = DEFAULT_SKEW
 ) -> dict[str, DataFrame]:
     stage1 = layers.read_all(spark, STAGE1, contract.tables)
-    dates = layers.read(spark, STAGE2, DATE_LOOKUP)
+    calendar = calendar_of(layers.read(spark, STAGE2, DATE_LOOKUP))
     statuses = layers.read(spark, STAGE2, STATUS_LOOKUP)
-    layers.write_all(build_star(stage1, dates, statuses, skew), INFO_MART)
+    layers.write_all(build_star(stage1, calendar, statuses, skew), INFO_MART)
     return layers.read_all(spark, INFO_MART, STAR_TABLES)
 
 
@@ -77,7 +88,10 @@ def run_mart(
     """Register the star, build the mart from the catalog and publish it."""
     register_tables(spark, layers, database, STAR_TABLES)
     star = {name: scan_table(spark, database, name) for name in STAR_TABLES}
-    mart = create_managed(build_mart(star, thresholds, skew=skew), database, MART_TABLE)
+    calendar = calendar_of(star["date_dim"])
+    mart = create_managed(
+        build_mart(star, thresholds, skew=skew, calendar=calendar), database, MART_TABLE
+    )
     return publish_external(
         mart, database, PUBLISHED_TABLE, layers.path(DATA_MART, MART_TABLE), layers.format
     )
@@ -93,6 +107,6 @@ def run_all(
 ) -> DataFrame:
     """Everything after profiling, in order; every layer is stored once."""
     run_cleanse(spark, layers, setting)
-    run_lookups(spark, layers)
+    run_lookups(spark, layers, setting)
     run_star(spark, layers, setting.contract, skew)
     return run_mart(spark, layers, database, thresholds, skew)

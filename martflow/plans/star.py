@@ -15,6 +15,7 @@ from martflow.operators.joins import (
     expand_join,
     lookup_join,
 )
+from martflow.sources.lookups import Calendar
 
 FACT = "order_fact"
 DIMENSIONS = (
@@ -62,34 +63,29 @@ def products_dim(
     return named.drop("brand_id", "category_id")
 
 
-def with_date_ids(df: DataFrame, dates: DataFrame, roles: tuple[str, ...] = DATE_ROLES) -> DataFrame:
-    """Replace each date by its id; NULL for days that the calendar lacks.
-
-    The calendar has one short row per day, so it is always broadcast.
-    """
-    for role in roles:
-        ids = dates.select(F.col("date").alias(role), F.col("date_id").alias(f"{role}_id"))
-        df = df.join(F.broadcast(ids), role, "left")
-    return df.drop(*roles)
+def with_date_ids(
+    df: DataFrame, calendar: Calendar, roles: tuple[str, ...] = DATE_ROLES
+) -> DataFrame:
+    """Replace each date by its id, computed from the day; NULL for days that the calendar lacks."""
+    ids = {f"{role}_id": calendar.date_id(F.col(role)) for role in roles}
+    return df.withColumns(ids).drop(*roles)
 
 
 def uncovered_dates(
-    df: DataFrame, dates: DataFrame, roles: tuple[str, ...] = DATE_ROLES
+    df: DataFrame, calendar: Calendar, roles: tuple[str, ...] = DATE_ROLES
 ) -> DataFrame:
     """Per date column: rows with a date, and those whose day the calendar lacks."""
-    marked = df.select(*roles, *(F.col(r).alias(f"__{r}") for r in roles))
-    marked = with_date_ids(marked, dates, roles)
     entries = [
         F.struct(
             F.lit(role).alias("column_name"),
-            F.count(f"__{role}").alias("dated"),
-            F.count_if(F.col(f"__{role}").isNotNull() & F.col(f"{role}_id").isNull()).alias(
+            F.count(role).alias("dated"),
+            F.count_if(F.col(role).isNotNull() & calendar.date_id(F.col(role)).isNull()).alias(
                 "uncovered"
             ),
         )
         for role in roles
     ]
-    return marked.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
 def order_lines(orders: DataFrame, items: DataFrame, skew: Skew = DEFAULT_SKEW) -> DataFrame:
@@ -100,26 +96,26 @@ def order_lines(orders: DataFrame, items: DataFrame, skew: Skew = DEFAULT_SKEW)
 
 
 def order_fact(
-    orders: DataFrame, items: DataFrame, dates: DataFrame, skew: Skew = DEFAULT_SKEW
+    orders: DataFrame, items: DataFrame, calendar: Calendar, skew: Skew = DEFAULT_SKEW
 ) -> DataFrame:
-    # Ids are looked up per order, before the orders are multiplied by lines.
-    return order_lines(with_date_ids(orders, dates), items, skew)
+    # Ids are computed per order, before the orders are multiplied by lines.
+    return order_lines(with_date_ids(orders, calendar), items, skew)
 
 
 def build_star(
     stage1: Mapping[str, DataFrame],
-    dates: DataFrame,
+    calendar: Calendar,
     statuses: DataFrame,
     skew: Skew = DEFAULT_SKEW,
 ) -> dict[str, DataFrame]:
     return {
         "customers_dim": plain_dim(stage1["customers"]),
-        "date_dim": date_dim(dates),
+        "date_dim": date_dim(calendar.table(statuses.sparkSession)),
         "products_dim": products_dim(
             stage1["products"], stage1["brands"], stage1["categories"], skew
         ),
         "staffs_dim": plain_dim(stage1["staffs"]),
         "stores_dim": plain_dim(stage1["stores"]),
         "status_dim": plain_dim(statuses),
-        FACT: order_fact(stage1["orders"], stage1["order_items"], dates, skew),
+        FACT: order_fact(stage1["orders"], stage1["order_items"], calendar, skew),
     }

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Layer folders, from raw files to the report table.
@@ -62,6 +63,13 @@ class Layers:
             reader = reader.option("mergeSchema", True)
         return reader.load(self.path(layer, table))
 
+    def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
+        try:
+            self.read(spark, layer, table)
+        except AnalysisException:
+            return False
+        return True
+
     def read_all(
         self, spark: SparkSession, layer: str, tables: Sequence[str]
     ) -> dict[str, DataFrame]:

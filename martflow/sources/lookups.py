@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The default calendar and the order statuses.
@@ -14,6 +15,61 @@ LAST_DAY = dt.date(2019, 12, 31)
 STATUSES = ((1, "Pending"), (2, "Processing"), (3, "Rejected"), (4, "Completed"))
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """A range of days, whose ids count from 1 on the first day.
+
+    An id follows from its day alone and the other way round, so facts get their ids, and the
+    mart its days, by a column expression: no join, whatever the length of the calendar. A stray
+    day such as 9999-12-31 has no id and adds no rows. A calendar that ends later keeps all ids.
+    """
+
+    first: dt.date = FIRST_DAY
+    last: dt.date = LAST_DAY
+
+    def __post_init__(self):
+        if self.first > self.last:
+            raise ValueError(f"the calendar ends on {self.last}, before its first day {self.first}")
+
+    @property
+    def days(self) -> int:
+        return (self.last - self.first).days + 1
+
+    def date_id(self, day: Column) -> Column:
+        """The id of a day; NULL outside the calendar."""
+        day = day.cast("date")
+        return F.when(day.between(F.lit(self.first), F.lit(self.last)), F.datediff(day, F.lit(self.first)) + 1)
+
+    def date(self, date_id: Column) -> Column:
+        """The day of an id; NULL for ids that the calendar lacks."""
+        return F.when(date_id.between(1, self.days), F.date_add(F.lit(self.first), (date_id - 1).cast("int")))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return date_lookup(spark, self.first, self.last)
+
+
+def calendar_of(dates: DataFrame) -> Calendar:
+    """The calendar behind a stored table of ``date`` and ``date_id``, whose ids are checked (one row)."""
+    before = F.date_sub("date", F.col("date_id").cast("int"))
+    found = dates.agg(
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        F.min(before).alias("least"),
+        F.max(before).alias("most"),
+        F.count(before).alias("days"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("date_id").alias("ids"),
+    ).first()
+    if not found["rows"]:
+        raise ValueError("the table of dates is empty")
+    calendar = Calendar(found["first"], found["last"])
+    start = calendar.first - dt.timedelta(days=1)
+    counted = {found["days"], found["rows"], found["ids"], calendar.days}
+    if {found["least"], found["most"]} != {start} or len(counted) != 1:
+        raise ValueError("the ids of the dates do not count the days from the first one")
+    return calendar
+
+
 def date_lookup(
     spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY
 ) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -36,3 +39,39 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     path = run_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A stored table with its rows and their bytes in memory, as counted while it was written."""
+
+    table: DataFrame
+    rows: int
+    size: int
+
+
+def stage(df: DataFrame, name: str = "staged") -> Staged:
+    """Store a table and measure it in the same job.
+
+    The size is a measure of the rows themselves. Neither the files, which are compressed, nor what the
+    table was made from, say how much a broadcast of it would take.
+    """
+    seen = Observation()
+    table = store(
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("size")), name
+    )
+    found = seen.get
+    return Staged(table, found["rows"], found["size"] or 0)
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row in memory: eight per column, and the lengths of texts and nested values."""
+    size = F.lit(16).cast("bigint")
+    for field in schema.fields:
+        x = F.col(f"`{field.name}`")
+        size = size + F.lit(8)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(x), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(8 * F.octet_length(x.cast("string")), F.lit(0))
+    return size

@@ -47,7 +47,7 @@ def stage1(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def the_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return star.build_star(
-        stage1(spark, sf_dir), standins.calendar(spark), standins.statuses(spark)
+        stage1(spark, sf_dir), standins.CALENDAR, standins.statuses(spark)
     )
 
 
@@ -57,12 +57,18 @@ FACT_ALONE = "fact"
 def the_mart(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
     """The mart with the parts named, all where none is; FACT_ALONE joins nothing."""
     named = [p for p in parts if p != FACT_ALONE] if parts else marts.PARTS
-    return marts.build_mart(the_star(spark, sf_dir), THRESHOLDS, named)
+    return marts.build_mart(
+        the_star(spark, sf_dir), THRESHOLDS, named, calendar=standins.CALENDAR
+    )
 
 
 def the_setting(spark: SparkSession) -> Setting:
     return Setting(
-        CONTRACT, postal=standins.postal_codes(spark), int_type="bigint", z_threshold=Z_LINES
+        CONTRACT,
+        postal=standins.postal_codes(spark),
+        int_type="bigint",
+        z_threshold=Z_LINES,
+        calendar=standins.WIDE_CALENDAR,
     )
 
 
@@ -452,7 +458,7 @@ def fk_orphans(spark, sf_dir):
     known = quality.valid_postal_codes(
         tables["customers"], "zip_code", standins.postal_codes(spark)
     )
-    fact = star.order_fact(tables["orders"], tables["order_items"], standins.calendar(spark))
+    fact = star.order_fact(tables["orders"], tables["order_items"], standins.CALENDAR)
     return quality.orphan_report(
         fact,
         {
@@ -602,7 +608,7 @@ def fact_orders_without_lines(spark, sf_dir):
 
 @query
 def fact_uncovered_dates(spark, sf_dir):
-    return star.uncovered_dates(stand_in(spark, sf_dir, "orders"), standins.calendar(spark))
+    return star.uncovered_dates(stand_in(spark, sf_dir, "orders"), standins.CALENDAR)
 
 
 @query
@@ -628,7 +634,7 @@ def join_left_order_lines(spark, sf_dir):
 @query
 def join_date_roles(spark, sf_dir):
     orders = casting.drop_audit_columns(stand_in(spark, sf_dir, "orders"))
-    return star.with_date_ids(orders, standins.calendar(spark))
+    return star.with_date_ids(orders, standins.CALENDAR)
 
 
 @query
@@ -693,7 +699,6 @@ _MEASURES = {
     "kpi_sales_totals": (measures.sales_totals, (FACT_ALONE,)),
     "kpi_aov_quarter": (measures.aov_by_quarter, ("dates",)),
     "kpi_revenue_quarter": (measures.revenue_by_quarter, ("dates",)),
-    "kpi_revenue_state": (measures.revenue_by_state, ("customers",)),
     "kpi_discount_impact": (measures.discount_impact, (FACT_ALONE,)),
     "kpi_product_top": (measures.top_selling_product, ("products",)),
     "kpi_product_max_qty": (measures.highest_quantity_product, ("products",)),
@@ -713,23 +718,37 @@ _MEASURES = {
         ("dates",),
     ),
     "kpi_retention_rate": (measures.retention_rate, ("dates",)),
-    "kpi_customer_distribution": (measures.customer_distribution, ("customers", "dates")),
-    "kpi_retention_state": (
-        lambda mart: measures.retention_by_state(mart, min_orders=10),
-        ("customers", "dates"),
-    ),
-    "kpi_retention_state_twice": (measures.retention_by_state, ("customers", "dates")),
     "kpi_retention_yoy": (measures.retention_by_year, ("dates",)),
     "kpi_acquisition": (measures.customer_acquisition, ("dates",)),
     "kpi_value_over_time": (measures.value_over_time, ("dates",)),
 }
 
 
+_STATE_MEASURES = {
+    "kpi_revenue_state": (measures.revenue_by_state, (FACT_ALONE,)),
+    "kpi_customer_distribution": (measures.customer_distribution, ("dates",)),
+    "kpi_retention_state": (
+        lambda mart, customers: measures.retention_by_state(mart, customers, min_orders=10),
+        ("dates",),
+    ),
+    "kpi_retention_state_twice": (measures.retention_by_state, ("dates",)),
+}
+
+
 def _measure(measure, parts) -> Query:
     return lambda spark, sf_dir: measure(the_mart(spark, sf_dir, *parts))
 
 
+def _state_measure(measure, parts) -> Query:
+    def run_measure(spark, sf_dir):
+        customers = star.plain_dim(stage1(spark, sf_dir)["customers"])
+        return measure(the_mart(spark, sf_dir, *parts), customers)
+
+    return run_measure
+
+
 QUERIES.update({name: _measure(*entry) for name, entry in _MEASURES.items()})
+QUERIES.update({name: _state_measure(*entry) for name, entry in _STATE_MEASURES.items()})
 
 
 # --- recipes and whole runs ---------------------------------------------------

@@ -14,7 +14,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.contract import Contract
-from martflow.sources.lookups import date_lookup, status_lookup
+from martflow.sources.lookups import Calendar, status_lookup
 
 _AUDIT = (
     "'fixture' AS source, cast('2024-01-01' AS date) AS \"timestamp\", 1 AS extraction_id"
@@ -226,8 +226,9 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: stand_in(spark, sf_dir, name) for name in SOURCE_TABLES}
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return date_lookup(spark, FIRST_DAY, LAST_DAY)
+CALENDAR = Calendar(FIRST_DAY, LAST_DAY)
+# One that covers all orders, for whole runs.
+WIDE_CALENDAR = Calendar(dt.date(1990, 1, 1), dt.date(2009, 12, 31))
 
 
 def statuses(spark: SparkSession) -> DataFrame:

@@ -11,11 +11,13 @@ from martflow.plans import measures
 from martflow.plans.mart import (
     Thresholds,
     build_mart,
+    customers_with_flag,
     frequent_customers,
     full_join_products,
 )
 from martflow.plans.star import FACT, build_star, date_dim, order_fact
 from martflow.sources import lookups
+from martflow.sources.workdir import stage, store
 from suite import queries, standins
 
 SPREAD = Skew(min_bytes=0, min_hot_rows=20, salts=4)
@@ -70,8 +72,8 @@ def small_star(spark):
             AS i(order_id, item_id, product_id, quantity, list_price, discount)""",
     }
     stage1 = {name: spark.sql(sql) for name, sql in tables.items()}
-    dates = lookups.date_lookup(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 7))
-    return build_star(stage1, dates, lookups.status_lookup(spark))
+    calendar = lookups.Calendar(dt.date(2020, 1, 1), dt.date(2020, 1, 7))
+    return build_star(stage1, calendar, lookups.status_lookup(spark))
 
 
 def test_mart_of_a_small_star(spark):
@@ -131,7 +133,7 @@ def test_mart_is_the_same_with_spread_joins(spark, star, no_broadcast):
 def test_fact_is_the_same_with_spread_joins(spark, sf_dir, no_broadcast):
     tables = queries.stage1(spark, sf_dir)
     built = [
-        order_fact(tables["orders"], tables["order_items"], standins.calendar(spark), skew)
+        order_fact(tables["orders"], tables["order_items"], standins.CALENDAR, skew)
         for skew in (Skew(), SPREAD)
     ]
     assert rows(built[0]) == rows(built[1])
@@ -146,6 +148,70 @@ def test_full_join_is_left_plus_unsold(spark, sf_dir):
     assert rows(full_join_products(lines, products)) == rows(expected.drop("line_product"))
 
 
+def test_fact_is_not_shuffled_for_small_customers(spark, star):
+    """Customers are measured by themselves; the fact behind their flag is above the limit."""
+    stored = {name: store(df, name) for name, df in star.items()}
+    buyers = stage(customers_with_flag(stored["customers_dim"], stored[FACT], Thresholds()))
+    assert buyers.rows == stored["customers_dim"].count()
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(buyers.size))
+    try:
+        plan = plan_of(build_mart(stored, parts=("customers",)))
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        spark.conf.set(name, "1000")
+        plan = plan_of(build_mart(stored, parts=("customers",)))
+        assert "Exchange hashpartitioning(customer_id" in plan
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_dates_need_no_join(spark, star):
+    calendar = lookups.calendar_of(star["date_dim"])
+    assert calendar == standins.CALENDAR
+    computed = build_mart(star, parts=("dates",), calendar=calendar)
+    assert plan_of(computed).count("Join") == plan_of(star[FACT]).count("Join")
+    joined = build_mart(star, parts=("dates",))
+    columns = sorted(computed.columns)
+    assert sorted(joined.columns) == columns
+    assert computed.select(columns).exceptAll(joined.select(columns)).isEmpty()
+
+
+def test_calendar_ids(spark):
+    calendar = lookups.Calendar(dt.date(2020, 1, 1), dt.date(2020, 12, 31))
+    longer = lookups.Calendar(dt.date(2020, 1, 1), dt.date(2021, 12, 31))
+    days = [dt.date(2019, 12, 31), dt.date(2020, 1, 1), dt.date(2020, 12, 31), dt.date(9999, 12, 31), None]
+    df = spark.createDataFrame([(d,) for d in days], "day date")
+    found = df.select(
+        "day", calendar.date_id(F.col("day")).alias("id"), longer.date_id(F.col("day")).alias("later")
+    )
+    assert [r["id"] for r in found.collect()] == [None, 1, 366, None, None]
+    assert [r["later"] for r in found.collect()] == [None, 1, 366, None, None]
+    back = found.select(calendar.date(F.col("id")).alias("d")).collect()
+    assert [r["d"] for r in back] == [None, *days[1:3], None, None]
+    ids = spark.createDataFrame([(0,), (1,), (366,), (367,), (None,)], "id int")
+    assert [r[0] for r in ids.select(calendar.date(F.col("id"))).collect()] == [None, days[1], days[2], None, None]
+    assert calendar.table(spark).count() == calendar.days == 366
+    assert lookups.calendar_of(calendar.table(spark)) == calendar
+    for wrong in ("date_id <> 7", "date_id > 1", "date_id < 0"):
+        with pytest.raises(ValueError):
+            lookups.calendar_of(calendar.table(spark).filter(wrong))
+    with pytest.raises(ValueError):
+        lookups.calendar_of(calendar.table(spark).withColumn("date_id", F.lit(1)))
+    with pytest.raises(ValueError):
+        lookups.Calendar(days[2], days[1])
+
+
+def test_measured_sizes(spark):
+    df = spark.sql("SELECT 1 AS a, 'four' AS b UNION ALL SELECT 2, NULL")
+    found = stage(df)
+    assert (found.rows, found.size) == (2, 2 * 32 + 4)
+    assert rows(found.table) == rows(df)
+    assert stage(df.filter("a > 5")).size == 0
+    nested = spark.sql("SELECT array(1, 2) AS `x.y`, map('k', 'v') AS m")
+    assert stage(nested).size > 0
+
+
 def test_mart_plan_has_no_cross_join_and_no_python(star):
     plan = plan_of(build_mart(star))
     for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
