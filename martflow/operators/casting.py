@@ -80,9 +80,12 @@ def cast_report(
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
+def prefixed_name(table: str, column: str) -> str:
+    return f"{table}_{column}" if column in SHARED_COLUMNS else column
+
+
 def prefix_shared_columns(df: DataFrame, table: str) -> DataFrame:
-    names = {c: f"{table}_{c}" for c in df.columns if c in SHARED_COLUMNS}
-    return df.withColumnsRenamed(names)
+    return df.withColumnsRenamed({c: prefixed_name(table, c) for c in df.columns})
 
 
 def drop_audit_columns(df: DataFrame) -> DataFrame:

@@ -6,13 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.contract import ColumnRule, Contract
 from martflow.operators.casting import target_types
-from martflow.operators.joins import count_keys
+from martflow.operators.dedupe import dedupe
+from martflow.operators.joins import DEFAULT_SKEW, Skew, count_keys, lookup_join
 
 VIOLATIONS = T.StructType(
     [
@@ -124,6 +125,38 @@ def require_valid_keys(report: DataFrame) -> None:
         raise ValueError(f"primary key violations: {found}")
 
 
+# --- key gate ----------------------------------------------------------------
+
+# Why a row is turned away, in the order in which the reasons are tried.
+REASON = "reject_reason"
+NULL_KEY, BAD_TYPE, DUPLICATE = "null", "type", "duplicate"
+
+
+def split_by_key(
+    df: DataFrame, rules: Sequence[ColumnRule], int_type: str = "int", skew: Skew = DEFAULT_SKEW
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with a sound key, rejected rows with their reason); together they are all rows.
+
+    Rejected is a row whose key has a NULL or a value not of its declared type, and every row but the first
+    of a key, in the order of ``dedupe``. Of equal rows one stays. Rejects are found among the rows
+    of repeated keys alone, and no task holds all rows of a key: survivors are limited before
+    their shuffle, repeated keys are combined in the map tasks, and their rows are joined and
+    subtracted by value.
+    """
+    keys = [r.table_columns for r in rules]
+    types = target_types(rules, int_type)
+    lost = [F.col(k).try_cast(types[k]).isNull() for k in keys if k in types]
+    wrong = reduce(lambda a, b: a | b, lost, F.lit(False))
+    reason = F.when(_missing_key(keys), NULL_KEY).when(wrong, BAD_TYPE)
+    sound = df.filter(reason.isNull())
+    broken = df.filter(reason.isNotNull()).withColumn(REASON, reason)
+    repeated = key_duplicates(sound, keys)
+    group = lookup_join(sound, repeated.select(*keys), keys, counts=repeated, skew=skew, how="inner")
+    group = group.select(*df.columns)
+    surplus = group.exceptAll(dedupe(group, keys)).withColumn(REASON, F.lit(DUPLICATE))
+    return dedupe(sound, keys), broken.unionByName(surplus)
+
+
 # --- references --------------------------------------------------------------
 
 
@@ -222,3 +255,44 @@ def step_audit(table: str, steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         for number, (name, df) in enumerate(steps)
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+STEPS = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("step_no", T.IntegerType()),
+        T.StructField("step", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
+
+class StepCounts:
+    """Rows after each step of a table, counted by the job that writes it.
+
+    Nothing runs for the counts. A map task that is run again after the loss of an executor counts its
+    rows twice, so ``agrees`` compares the ends with what was read and stored; where it is
+    false, ``step_audit`` counts anew.
+    """
+
+    def __init__(self, table: str):
+        self.table = table
+        self.steps: list[tuple[str, Observation]] = []
+
+    def watch(self, step: str, df: DataFrame) -> DataFrame:
+        seen = Observation()
+        self.steps.append((step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> list[tuple[str, int, str, int]]:
+        """Waits for the job that the table takes part in."""
+        return [
+            (self.table, number, step, seen.get["rows"])
+            for number, (step, seen) in enumerate(self.steps)
+        ]
+
+    def agrees(self, read: int, stored: int) -> bool:
+        """Steps only ever remove rows, between what was read and what was stored."""
+        counts = [row[-1] for row in self.rows()]
+        falls = all(a >= b for a, b in zip(counts, counts[1:], strict=False))
+        return falls and counts[0] == read and counts[-1] == stored

@@ -13,7 +13,7 @@ from martflow.operators.dedupe import dedupe, dedupe_chain
 from martflow.operators.normalize import normalize_contacts
 from martflow.operators.nulls import cleanse_nulls
 from martflow.operators.outliers import Z_THRESHOLD, remove_outliers_chain
-from martflow.operators.quality import step_audit, valid_postal_codes
+from martflow.operators.quality import StepCounts, step_audit, valid_postal_codes
 from martflow.sources.lookups import Calendar
 from martflow.sources.workdir import store
 
@@ -28,6 +28,8 @@ class Setting:
     int_type: str = "int"
     z_threshold: float = Z_THRESHOLD
     calendar: Calendar = Calendar()
+    #: rows with an unsound key are set aside in the rejects, or stop the run
+    raise_on_bad_keys: bool = False
     store: Callable[[DataFrame], DataFrame] = store
 
 
@@ -89,6 +91,13 @@ class Recipe:
     def apply(self, df: DataFrame, setting: Setting) -> DataFrame:
         return self.states(df, setting)[-1][1]
 
+    def watched(self, df: DataFrame, setting: Setting, counts: StepCounts) -> DataFrame:
+        """``apply``, with the rows after each step noted by the job that runs it."""
+        df = counts.watch("input", df)
+        for name, step in self.steps:
+            df = counts.watch(name, step(df, self.table, setting))
+        return df
+
     def audit(self, df: DataFrame, setting: Setting) -> DataFrame:
         return step_audit(self.table, self.states(df, setting))
 

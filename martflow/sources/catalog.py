@@ -26,21 +26,23 @@ def register_tables(
 ) -> None:
     """External tables over layer folders, always under their full name.
 
-    A table that is there already is refreshed, as its files may have been
-    replaced, and registered anew if the stored schema is another one by now.
-    Dropping an external table leaves its files alone.
+    A table that is there already is pointed to the current files, and registered anew if the
+    stored schema is another one by now. Dropping an external table leaves its files alone.
     """
     create_database(spark, database)
     for table in tables:
         name = f"`{database}`.`{table}`"
+        location = layers.location(spark, layer, table)
         if spark.catalog.tableExists(f"{database}.{table}"):
-            if spark.table(name).schema == layers.read(spark, layer, table).schema:
+            stored = spark.read.format(layers.format).load(location)
+            if spark.table(name).schema == stored.schema:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
                 spark.catalog.refreshTable(f"{database}.{table}")
                 continue
             spark.sql(f"DROP TABLE {name}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} "
-            f"USING {layers.format} LOCATION '{layers.path(layer, table)}'"
+            f"USING {layers.format} LOCATION '{location}'"
         )
 
 

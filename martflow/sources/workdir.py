@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +15,8 @@ from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
@@ -37,10 +42,34 @@ def run_folder(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a table to the shared folder and read it back, which ends its lineage."""
     path = run_folder(df.sparkSession, name)
+    known = _STORED.get()
+    if known is not None:
+        known.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Free the space of a folder of rows that nobody reads any more.
+
+    DataFrames can replace a folder's files but not delete it, so that an empty table is left.
+    """
+    spark.range(0, 0, 1, numPartitions=1).write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are discarded at the end, so nothing lazy that reads them may leave."""
+    paths: list[str] = []
+    token = _STORED.set(paths)
+    try:
+        yield
+    finally:
+        _STORED.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A stored table with its rows and their bytes in memory, as counted while it was written."""

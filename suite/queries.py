@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from martflow.operators import casting, dedupe, normalize, nulls, outliers, prof
 from martflow.operators.joins import expand_join, lookup_join
 from martflow.plans import mart as marts
 from martflow.plans import measures, run, star
-from martflow.plans.recipes import RECIPES, Setting, cleanse_tables, prefix_tables
+from martflow.plans.recipes import Setting, cleanse_tables, prefix_tables
 from martflow.sources import catalog
 from martflow.sources.landing import cast_tables, load_landing, scan_landing, table_counts
 from martflow.sources.layers import DATA_MART, INFO_MART, LANDING, STAGE2, Layers
@@ -482,12 +484,57 @@ def udf_batch_predicate(spark, sf_dir):
 
 @query
 def cleanse_audit(spark, sf_dir):
-    setting = the_setting(spark)
-    parts = [
-        RECIPES[name].audit(stand_in(spark, sf_dir, name), setting)
-        for name in ("order_items", "stores")
-    ]
-    return parts[0].unionByName(parts[1])
+    """Rows after each step of all recipes, as counted by the run that wrote Staging 1."""
+    layers = landed(spark, sf_dir, "audit")
+    return run.run_cleanse(spark, layers, the_setting(spark)).steps
+
+
+@query
+def key_gate_raw(spark, sf_dir):
+    """Raw orders through the gate of their key: rows that pass without a reason, rejects with one."""
+    kept, rejects = quality.split_by_key(
+        stand_in(spark, sf_dir, "raw_orders"), RAW_CONTRACT.primary_key("raw_orders")
+    )
+    return kept.withColumn(quality.REASON, F.lit(None).cast("string")).unionByName(rejects)
+
+
+def loose_run(spark, sf_dir, name):
+    setting = replace(the_setting(spark), contract=standins.LOOSE_CONTRACT)
+    layers = landed(spark, sf_dir, name)
+    return run.run_cleanse(spark, layers, setting, list(standins.LOOSE_TABLES))
+
+
+@query
+def run_key_gate(spark, sf_dir):
+    """Per table of a run with loose keys: rows that reached the gate, that passed it, and rejects by reason."""
+    done = loose_run(spark, sf_dir, "gate")
+    last = F.max_by("rows", "step_no").cast("bigint").alias("reached")
+    report = done.steps.groupBy("table_name").agg(last)
+    parts = []
+    for name, kept in done.tables.items():
+        passed = kept.agg(F.count(F.lit(1)).alias("passed"))
+        reasons = [
+            F.count_if(F.col(quality.REASON) == r).alias(f"rejected_{r}")
+            for r in (quality.NULL_KEY, quality.BAD_TYPE, quality.DUPLICATE)
+        ]
+        found = done.rejects[name].agg(*reasons)
+        named = F.lit(name).alias("table_name")
+        parts.append(
+            passed.select(named, "passed").join(found.select(named, "*"), "table_name")
+        )
+    return report.join(reduce(DataFrame.unionByName, parts), "table_name")
+
+
+@query
+def run_rejects(spark, sf_dir):
+    """The orders that the gate of a run with loose keys sets aside."""
+    return loose_run(spark, sf_dir, "rejects").rejects["orders"]
+
+
+@query
+def run_key_report(spark, sf_dir):
+    """Key checks of a run with loose keys, on what reached the gate."""
+    return loose_run(spark, sf_dir, "keys").keys
 
 
 # --- profiling ----------------------------------------------------------------
@@ -774,10 +821,35 @@ def cleanse_stores(spark, sf_dir):
     return _cleansed(spark, sf_dir, "stores")
 
 
+@query
+def cleanse_categories(spark, sf_dir):
+    return _cleansed(spark, sf_dir, "categories")
+
+
+@query
+def cleanse_staffs(spark, sf_dir):
+    return _cleansed(spark, sf_dir, "staffs")
+
+
+@query
+def cleanse_orders(spark, sf_dir):
+    return _cleansed(spark, sf_dir, "orders")
+
+
+@query
+def cleanse_brands(spark, sf_dir):
+    return _cleansed(spark, sf_dir, "brands")
+
+
+@query
+def cleanse_products(spark, sf_dir):
+    return _cleansed(spark, sf_dir, "products")
+
+
 @query
 def run_stage1_counts(spark, sf_dir):
     layers = landed(spark, sf_dir, "stage1")
-    return table_counts(run.run_cleanse(spark, layers, the_setting(spark)))
+    return table_counts(run.run_cleanse(spark, layers, the_setting(spark)).tables)
 
 
 @query
@@ -785,7 +857,7 @@ def run_mart_counts(spark, sf_dir):
     """Everything from landing files to the published mart, then its totals."""
     layers = landed(spark, sf_dir, "run")
     database = new_database(spark, layers)
-    mart = run.run_all(spark, layers, the_setting(spark), database, THRESHOLDS)
+    mart = run.run_all(spark, layers, the_setting(spark), database, THRESHOLDS).mart
     return mart.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("order_id").alias("order_rows"),

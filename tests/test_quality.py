@@ -5,8 +5,9 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from martflow.contract import Contract, read_contract, write_contract
+from martflow.contract import ColumnRule, Contract, read_contract, write_contract
 from martflow.operators import normalize, quality
+from martflow.operators.joins import Skew
 from martflow.operators.keys import surrogate_keys
 from martflow.sources.workdir import run_folder
 
@@ -135,3 +136,38 @@ def test_predicate_is_given_whole_series(spark):
         spark.range(10), "id", lambda s: pd.Series([v % 2 == 0 for v in s])
     )
     assert seen.count() == 5
+
+
+def test_step_counts_come_from_the_write(spark):
+    counts = quality.StepCounts("t")
+    df = counts.watch("input", spark.range(10))
+    df = counts.watch("half", df.filter("id < 5"))
+    df = counts.watch("none", df.filter("id < 0"))
+    df.write.format("noop").mode("overwrite").save()
+    assert counts.rows() == [("t", 0, "input", 10), ("t", 1, "half", 5), ("t", 2, "none", 0)]
+    assert counts.agrees(10, 0)
+    # a task that ran twice shows at an end, or as rows gained
+    assert not counts.agrees(9, 0) and not counts.agrees(10, 1)
+    counts.steps[1], counts.steps[2] = counts.steps[2], counts.steps[1]
+    assert not counts.agrees(10, 5)
+
+
+KEYED = [
+    ColumnRule("t", "t", "a", "int", primary_key="Y"),
+    ColumnRule("t", "t", "b", "string", primary_key="Y"),
+]
+
+
+@pytest.mark.parametrize("skew", [Skew(), Skew(min_bytes=0, min_hot_rows=5, salts=3)])
+def test_key_gate(spark, no_broadcast, skew):
+    data = [("1", "x", 5, 1), ("1", "x", 4, 1), ("1", "x", 4, 1), ("1", "y", 9, 2), (None, "x", 1, 3), ("z", "x", 1, 4), ("2", None, 1, 5)]
+    data += [("7", "hot", i % 3, i % 2) for i in range(60)]
+    df = spark.createDataFrame(data, "a string, b string, v int, rows int")
+    kept, rejects = quality.split_by_key(df, KEYED, skew=skew)
+    assert rows(kept) == rows(spark.createDataFrame([("1", "x", 4, 1), ("1", "y", 9, 2), ("7", "hot", 0, 0)], df.schema))
+    assert kept.unionByName(rejects.drop(quality.REASON)).exceptAll(df).isEmpty()
+    assert kept.count() + rejects.count() == len(data)
+    reasons = {r[0]: r[1] for r in rejects.groupBy(quality.REASON).count().collect()}
+    assert reasons == {"null": 2, "type": 1, "duplicate": 2 + 59}
+    none, nothing = quality.split_by_key(df.limit(0), KEYED, skew=skew)
+    assert none.isEmpty() and nothing.isEmpty()

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martflow.operators import quality
 from martflow.plans import run
 from martflow.sources import catalog
 from martflow.sources.landing import load_landing
-from martflow.sources.layers import DATA_MART, INFO_MART, LANDING, Layers
-from martflow.sources.workdir import run_folder, shared_folder, store
+from martflow.sources.layers import DATA_MART, INFO_MART, LANDING, REPORTS, STAGE1, Layers
+from martflow.sources.workdir import run_folder, scratch, shared_folder, store
 from suite import queries, standins
 
 
@@ -45,6 +47,51 @@ def test_overwrite_replaces_rows_and_schema(spark, layers):
         assert rows(layers.read(spark, INFO_MART, "t")) == [("0",), ("1",)]
 
 
+def test_a_dead_write_leaves_the_old_table(spark, layers):
+    layers.write(spark.range(3), INFO_MART, "t")
+    old = layers.read(spark, INFO_MART, "t")
+    fails = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        layers.write(fails, INFO_MART, "t")
+    assert rows(layers.read(spark, INFO_MART, "t")) == [(0,), (1,), (2,)]
+    # written whole, but not published
+    folder = layers.stage(spark.range(7), INFO_MART, "t")
+    assert layers.read(spark, INFO_MART, "t").count() == 3
+    layers.publish(spark, INFO_MART, "t", folder)
+    assert layers.read(spark, INFO_MART, "t").count() == 7
+    assert old.count() == 3  # a query on the old version can end
+    # a table may be replaced by what is computed from it
+    layers.write(layers.read(spark, INFO_MART, "t").filter("id > 4"), INFO_MART, "t")
+    assert rows(layers.read(spark, INFO_MART, "t")) == [(5,), (6,)]
+
+
+def test_old_versions_are_emptied(spark, layers):
+    assert not layers.exists(spark, INFO_MART, "t") and layers.retain(spark, INFO_MART, "t") == []
+    for n in range(1, 5):
+        layers.write(spark.range(n), INFO_MART, "t")
+    known = [folder for _, folder in layers.versions(spark, INFO_MART, "t")]
+    assert len(known) == 4
+    gone = layers.retain(spark, INFO_MART, "t", keep=2)
+    assert gone == known[2:]
+    assert [f for _, f in layers.versions(spark, INFO_MART, "t")] == known[:2]
+    assert layers.staged(spark, INFO_MART, "t", gone[0]).count() == 0
+    assert layers.read(spark, INFO_MART, "t").count() == 4
+    assert layers.retain(spark, INFO_MART, "t", keep=0) == known[1:2]
+    assert layers.read(spark, INFO_MART, "t").count() == 4
+    with pytest.raises(FileNotFoundError):
+        layers.read(spark, INFO_MART, "never")
+
+
+def test_scratch_tables_go_at_the_end(spark):
+    with scratch(spark):
+        stored = store(spark.range(50))
+        folder = stored.inputFiles()[0].rsplit("/", 1)[0]
+        assert stored.count() == 50
+    assert spark.read.parquet(folder).count() == 0
+    kept = store(spark.range(5))
+    assert kept.count() == 5
+
+
 def test_partitioned_layer_prunes(spark, layers):
     layers.write(spark.range(10).selectExpr("id", "id % 2 AS p"), DATA_MART, "t", ["p"])
     found = layers.read(spark, DATA_MART, "t").filter("p = 1")
@@ -53,10 +100,10 @@ def test_partitioned_layer_prunes(spark, layers):
 
 
 def test_read_may_merge_schemas(spark, layers):
-    path = layers.path(INFO_MART, "t")
+    path = layers.path(LANDING, "t")
     spark.sql("SELECT 1 AS a").write.parquet(path)
     spark.sql("SELECT 2 AS a, 3 AS b").write.mode("append").parquet(path)
-    found = layers.read(spark, INFO_MART, "t", merge_schema=True)
+    found = layers.read(spark, LANDING, "t", merge_schema=True)
     assert rows(found) == [(1, None), (2, 3)]
 
 
@@ -108,17 +155,52 @@ def test_whole_run_twice_gives_the_same(spark, sf_dir, layers, database):
     layers.write_all(standins.sources(spark, sf_dir), LANDING)
     setting = queries.the_setting(spark)
     results = []
-    for _ in range(2):
-        mart = run.run_all(spark, layers, setting, database, queries.THRESHOLDS)
+    for profile in (True, False):
+        done = run.run_all(spark, layers, setting, database, queries.THRESHOLDS, profile=profile)
+        mart = done.mart
         results.append(
             mart.agg(F.count("*"), F.sum(F.xxhash64(*sorted(mart.columns)).cast("decimal(38,0)"))).first()
         )
     assert results[0] == results[1]
+    assert done.dates.agg(F.sum("uncovered")).first()[0] == 0
+    assert done.profile is None and layers.read(spark, REPORTS, "profile").count() > 0
+    assert all(r.isEmpty() for r in done.cleansed.rejects.values())
+    with pytest.raises(ValueError, match="date ids count"):
+        run.run_lookups(spark, layers, replace(setting, calendar=standins.CALENDAR))
     report = run.run_key_report(spark, layers, setting)
     assert report.agg(F.sum("bad_rows")).first()[0] == 0
     assert run.run_profile(spark, layers, standins.CONTRACT).count() > 0
 
 
+def test_bad_keys_are_set_aside_or_stop_the_run(spark, sf_dir, layers):
+    layers.write_all(standins.sources(spark, sf_dir), LANDING)
+    setting = replace(queries.the_setting(spark), contract=standins.LOOSE_CONTRACT)
+    strict = replace(setting, raise_on_bad_keys=True)
+    with pytest.raises(ValueError, match="primary key violations"):
+        run.run_cleanse(spark, layers, strict, standins.LOOSE_TABLES)
+    assert not layers.exists(spark, STAGE1, "orders")  # nothing was published
+    done = run.run_cleanse(spark, layers, setting, (*standins.LOOSE_TABLES, "brands"))
+    ends = {r["table_name"]: r["rows"] for r in done.steps.filter("step = 'recast'").collect()}
+    for name, kept in done.tables.items():
+        rejects = done.rejects[name]
+        assert rejects.columns == [*kept.columns, quality.REASON]
+        assert kept.count() + rejects.count() == ends[name]
+    assert done.rejects["orders"].select(quality.REASON).distinct().count() == 2
+    assert done.rejects["brands"].isEmpty()
+    assert layers.read(spark, REPORTS, "keys").filter("bad_rows > 0").count() > 0
+    with pytest.raises(ValueError):
+        run.run_cleanse(spark, layers, strict, ("orders",))
+    assert layers.read(spark, STAGE1, "orders").count() == done.tables["orders"].count()
+
+
+def test_empty_landing_tables(spark, sf_dir, layers):
+    empty = {n: df.limit(0) for n, df in standins.sources(spark, sf_dir).items()}
+    layers.write_all(empty, LANDING)
+    done = run.run_cleanse(spark, layers, queries.the_setting(spark))
+    assert done.steps.count() == 43 and done.steps.agg(F.sum("rows")).first()[0] == 0
+    assert all(df.isEmpty() for df in done.tables.values())
+
+
 def test_landing_is_cast_by_contract(spark, sf_dir, layers):
     layers.write_all(standins.sources(spark, sf_dir), LANDING)
     tables = load_landing(spark, layers, standins.CONTRACT)
