@@ -16,6 +16,11 @@ from martflow.operators.joins import DEFAULT_SKEW
 DISTRIBUTION_ROWS = 10
 HISTOGRAM_BINS = 30
 
+#: Bits of the filter of repeated row hashes: 2 MB whatever the table.
+FILTER_BITS = 1 << 24
+#: Rows that are read to bound the first values of a large table.
+BOUND_ROWS = 4096
+
 
 def _is_number(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.NumericType)
@@ -115,16 +120,22 @@ def duplicate_rows(df: DataFrame, hash_first_bytes: int = DEFAULT_SKEW.min_bytes
 
     Grouping a large table by all of its columns would shuffle the whole table to
     find what most often are few duplicates. From ``hash_first_bytes`` on only
-    64-bit hashes are shuffled, and the rows whose hash occurs more than once are
-    then grouped by their columns, which makes the count exact.
+    64-bit hashes are shuffled, combined in the map tasks. The hashes that occur more than once set bits in a
+    filter of a fixed size, which is broadcast; rows that pass it are combined with their equals in
+    the map tasks and then grouped by their columns, which makes the count exact. So a row that is
+    repeated a million times is sent once per task, and rows without an equal hardly ever.
     """
     rows = df
     if input_bytes(df) >= hash_first_bytes:
-        row_hash = F.xxhash64(*df.columns).alias("__hash")
-        hashes = df.select(row_hash).groupBy("__hash").agg(F.count(F.lit(1)).alias("__rows"))
-        repeated_hashes = hashes.filter(F.col("__rows") > 1).select("__hash")
-        rows = df.select("*", row_hash).join(repeated_hashes, "__hash", "left_semi")
-    groups = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__rows"))
+        row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+        hashes = df.select(row_hash.alias("__hash")).groupBy("__hash")
+        repeated = hashes.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
+        # FILTER_BITS / 32768 rows of 4 kB
+        marks = F.broadcast(_bit_filter(repeated.select("__hash")))
+        slot = F.pmod(row_hash, F.lit(FILTER_BITS)) + 1
+        marked = df.select("*", slot.alias("__slot")).withColumn("__bucket", F.bitmap_bucket_number("__slot"))
+        rows = marked.join(marks, "__bucket").filter(_bit_is_set(F.col("__bits"), F.bitmap_bit_position("__slot")))
+    groups = rows.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("__rows"))
     repeated = groups.filter(F.col("__rows") > 1)
     return repeated.agg(
         F.count(F.lit(1)).alias("duplicate_groups"),
@@ -132,6 +143,20 @@ def duplicate_rows(df: DataFrame, hash_first_bytes: int = DEFAULT_SKEW.min_bytes
     )
 
 
+def _bit_filter(hashes: DataFrame) -> DataFrame:
+    """``(__bucket, __bits)``: a bit for every hash, at its place modulo FILTER_BITS."""
+    slots = hashes.select((F.pmod("__hash", F.lit(FILTER_BITS)) + 1).alias("slot"))
+    return slots.groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits")
+    )
+
+
+def _bit_is_set(bits: Column, position: Column) -> Column:
+    byte = F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.getbit(value, (position % 8).cast("int")) == 1
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -150,11 +175,23 @@ def top_values(df: DataFrame, column: str, rows: int = DISTRIBUTION_ROWS) -> Dat
     )
 
 
-def distributions(df: DataFrame, rows: int = DISTRIBUTION_ROWS) -> DataFrame:
-    """``distribution`` of every text column in one group-by."""
+def distributions(
+    df: DataFrame, rows: int = DISTRIBUTION_ROWS, bound_first_bytes: int = DEFAULT_SKEW.min_bytes
+) -> DataFrame:
+    """``distribution`` of every text column in one group-by.
+
+    In tables from ``bound_first_bytes`` on, a few rows are read first: the value in place ``rows`` among
+    them lies at or behind that of the whole table, so that greater values need not be grouped.
+    """
     texts = [f.name for f in df.schema.fields if _is_text(f)]
+    bounds: dict[str, str] = {}
+    if texts and input_bytes(df) >= bound_first_bytes:
+        some = df.select(*(F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(texts))).limit(BOUND_ROWS)
+        places = [F.get(F.array_sort(F.collect_set(str(i))), F.lit(rows - 1)) for i in range(len(texts))]
+        found = some.agg(*places).first()
+        bounds = {c: found[i] for i, c in enumerate(texts) if found[i] is not None}
     counts = (
-        _pairs(df, texts).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
+        _pairs(df, texts, bounds).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
     )
     order = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_first())
     return (
@@ -225,39 +262,64 @@ def histograms(
 
 
 def profile_table(df: DataFrame, table: str) -> DataFrame:
-    """The one-number findings of a table as (table, column, finding, value) rows."""
+    """The whole profile of a table as (table, column, finding, place, label, value) rows.
+
+    * ``present`` and ``nulls`` of every column; ``mean``, ``sd``, ``min`` and ``max`` of numbers; ``min``
+      and ``max`` of texts and days, as labels;
+    * ``first_value``: the first values of a text column in value order, with their rows, by place;
+    * ``bin``: the rows of each bin of a number or day, between its least and greatest value, by place;
+    * ``duplicate_groups`` and ``surplus_rows`` of the table, under the column ``*``.
+
+    Per column the lists are of fixed length, so the report grows with the columns and not with the rows.
+    """
     entries = []
     for field in df.schema.fields:
-        x = F.col(field.name)
-        found = {"present": F.count(x), "nulls": F.count_if(x.isNull())}
+        x = F.col(f"`{field.name}`")
+        found = {"present": (None, F.count(x)), "nulls": (None, F.count_if(x.isNull()))}
         if _is_number(field):
-            found["min"], found["max"] = F.min(x.cast("double")), F.max(x.cast("double"))
+            number = x.cast("double")
+            found["mean"], found["sd"] = (None, F.avg(number)), (None, F.stddev_samp(number))
+            found["min"], found["max"] = (None, F.min(number)), (None, F.max(number))
+        elif _is_text(field) or _is_day(field):
+            found["min"], found["max"] = (F.min(x), None), (F.max(x), None)
         entries += [
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(field.name).alias("column_name"),
-                F.lit(name).alias("finding"),
-                value.cast("double").alias("value"),
-            )
-            for name, value in found.items()
+            _finding(field.name, name, label=label, value=value)
+            for name, (label, value) in found.items()
         ]
-    columns = _report(df, entries)
-    repeated = duplicate_rows(df).select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(table).alias("table_name"),
-                        F.lit("*").alias("column_name"),
-                        F.lit(c).alias("finding"),
-                        F.col(c).cast("double").alias("value"),
-                    )
-                    for c in ("duplicate_groups", "surplus_rows")
+    parts = [
+        _report(df, entries),
+        duplicate_rows(df).select(
+            F.inline(
+                F.array(
+                    *(_finding("*", c, value=F.col(c)) for c in ("duplicate_groups", "surplus_rows"))
                 )
             )
-        )
+        ),
+    ]
+    if any(_is_text(f) for f in df.schema.fields):
+        first = _finding(F.col("column_name"), "first_value", F.col("place"), F.col("value"), F.col("rows"))
+        parts.append(distributions(df).select(first.alias("x")).select("x.*"))
+    if any(_is_number(f) or _is_day(f) for f in df.schema.fields):
+        bins = _finding(F.col("column_name"), "bin", F.col("bin"), value=F.col("rows"))
+        parts.append(histograms(df).select(bins.alias("x")).select("x.*"))
+    report = reduce(DataFrame.unionByName, parts)
+    return report.select(F.lit(table).alias("table_name"), *report.columns)
+
+
+def _finding(
+    column: str | Column,
+    name: str,
+    place: Column | None = None,
+    label: Column | None = None,
+    value: Column | None = None,
+) -> Column:
+    return F.struct(
+        (F.lit(column) if isinstance(column, str) else column).alias("column_name"),
+        F.lit(name).alias("finding"),
+        (F.lit(0) if place is None else place).cast("int").alias("place"),
+        (F.lit(None) if label is None else label).cast("string").alias("label"),
+        (F.lit(None) if value is None else value).cast("double").alias("value"),
     )
-    return columns.unionByName(repeated)
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -274,17 +336,16 @@ def _axis(field: T.StructField) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of (column, value as text)."""
-    return df.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")
-                    )
-                    for c in columns
-                )
-            )
-        )
-    )
+def _pairs(
+    df: DataFrame, columns: Sequence[str], bounds: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows of (column, value as text), up to the column's bound where there is one."""
+    bounds = bounds or {}
+
+    def pair(c: str) -> Column:
+        value = F.col(f"`{c}`").cast("string")
+        entry = F.struct(F.lit(c).alias("column_name"), value.alias("value"))
+        return F.when(value.isNull() | (value <= bounds[c]), entry) if c in bounds else entry
+
+    entries = F.array(*(pair(c) for c in columns))
+    return df.select(F.inline(F.array_compact(entries) if bounds else entries))

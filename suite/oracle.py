@@ -682,6 +682,14 @@ ORACLE["profile_duplicates"] = """
 SELECT count(*) AS duplicate_groups, cast(coalesce(sum(n - 1), 0) AS bigint) AS surplus_rows
 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag
       HAVING count(*) > 1)"""
+ORACLE["profile_duplicates_hashed"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS columns, count(*) AS duplicate_groups, "
+    "cast(coalesce(sum(n - 1), 0) AS bigint) AS surplus_rows "
+    f"FROM (SELECT count(*) AS n FROM lineitem GROUP BY {columns} HAVING count(*) > 1)"
+    for name, columns in (("some", "l_orderkey, l_returnflag, l_linestatus"), ("all", "ALL"))
+).replace(
+    "SELECT count(*) AS n FROM lineitem GROUP BY ALL", "SELECT count(*) AS n, * FROM lineitem GROUP BY ALL"
+)
 ORACLE["profile_distribution"] = (
     "SELECT p_name AS value, count(*) AS rows FROM part GROUP BY p_name "
     "ORDER BY p_name NULLS FIRST LIMIT 10"
@@ -753,21 +761,39 @@ def profiled(table: str) -> list[str]:
     columns = [r.table_columns for r in CONTRACT.table(table)]
     columns += ["source", "timestamp", "extraction_id"]
     texts = []
+
+    def finding(column, name, value="NULL", label="NULL", place="0", rest=""):
+        return (
+            f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{name}' AS finding, "
+            f"cast({place} AS int) AS place, cast({label} AS varchar) AS label, "
+            f"round(cast({value} AS double), {7 if name == 'mean' else 6}) AS value FROM {rest or 'src_' + table}"
+        )
+
     for c in columns:
-        found = {"present": f'count("{c}")', "nulls": f'count(*) - count("{c}")'}
+        texts.append(finding(c, "present", f'count("{c}")'))
+        texts.append(finding(c, "nulls", f'count(*) - count("{c}")'))
         if c in _NUMBERS[table]:
-            found |= {"min": f"min({c})", "max": f"max({c})"}
-        texts += [
-            f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{f}' AS finding, "
-            f"cast({x} AS double) AS value FROM src_{table}"
-            for f, x in found.items()
-        ]
-    groups = f"(SELECT count(*) AS n FROM src_{table} GROUP BY ALL HAVING count(*) > 1)"
-    groups = groups.replace("SELECT count(*) AS n", "SELECT *, count(*) AS n")
-    texts += [
-        f"SELECT '{table}', '*', '{f}', cast({x} AS double) FROM {groups}"
-        for f, x in (("duplicate_groups", "count(*)"), ("surplus_rows", "coalesce(sum(n - 1), 0)"))
-    ]
+            for name, value in (("mean", "avg"), ("sd", "stddev_samp"), ("min", "min"), ("max", "max")):
+                texts.append(finding(c, name, f'{value}("{c}")'))
+        else:
+            texts += [finding(c, name, label=f'{name}("{c}")') for name in ("min", "max")]
+        day = c == "timestamp" or c.endswith("_date")
+        if c in _NUMBERS[table] or day:
+            axis = f"""datediff('day', date '1970-01-01', "{c}")""" if day else c
+            bins = f"({histogram(c, axis, 'src_' + table)}) WHERE low IS NOT NULL"
+            texts.append(finding(c, "bin", "rows", place="bin", rest=bins))
+        else:
+            first = (
+                f'(SELECT row_number() OVER (ORDER BY "{c}" NULLS FIRST) AS place, "{c}" AS value, '
+                f'count(*) AS rows FROM src_{table} GROUP BY "{c}") WHERE place <= 10'
+            )
+            texts.append(finding(c, "first_value", "rows", "value", "place", first))
+    groups = (
+        f"(SELECT count(*) AS n FROM src_{table} GROUP BY {', '.join(chr(34) + c + chr(34) for c in columns)} "
+        "HAVING count(*) > 1)"
+    )
+    texts.append(finding("*", "duplicate_groups", "count(*)", rest=groups))
+    texts.append(finding("*", "surplus_rows", "coalesce(sum(n - 1), 0)", rest=groups))
     return texts
 
 

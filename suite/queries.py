@@ -564,6 +564,18 @@ def profile_duplicates(spark, sf_dir):
     return profile.duplicate_rows(lines.select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
+@query
+def profile_duplicates_hashed(spark, sf_dir):
+    """Equal order items but for the item's number and price, found by way of their hashes;
+    and equal lines in all columns of the table."""
+    lines = table(spark, sf_dir, "lineitem")
+    some = profile.duplicate_rows(lines.select("l_orderkey", "l_returnflag", "l_linestatus"), 0)
+    whole = profile.duplicate_rows(lines, 0)
+    return some.select(F.lit("some").alias("columns"), "*").unionByName(
+        whole.select(F.lit("all").alias("columns"), "*")
+    )
+
+
 @query
 def profile_distribution(spark, sf_dir):
     return profile.distribution(table(spark, sf_dir, "part"), "p_name")
@@ -587,7 +599,11 @@ def profile_histogram(spark, sf_dir):
 
 @query
 def profile_all(spark, sf_dir):
-    return profile.profile_tables(standins.sources(spark, sf_dir))
+    """The whole profile of all source tables."""
+    found = profile.profile_tables(standins.sources(spark, sf_dir))
+    # means of hundredths lie on ties of the sixth place
+    mean = F.when(F.col("finding") == "mean", F.round("value", 7))
+    return found.withColumn("value", mean.otherwise(F.round("value", 6)))
 
 
 @query

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from martflow.operators import profile
@@ -98,8 +98,52 @@ def test_histogram_of_no_values_is_empty(spark):
 
 
 def test_profile_table(table):
-    found = {(r["column_name"], r["finding"]): r["value"]
-             for r in profile.profile_table(table, "t").collect()}
-    assert found[("id", "max")] == 4.0
-    assert found[("name", "nulls")] == 1.0
-    assert found[("*", "duplicate_groups")] == 1.0
+    report = profile.profile_table(table, "t").collect()
+    found = {(r["column_name"], r["finding"], r["place"]): r for r in report}
+    assert len(found) == len(report)
+    assert found[("id", "max", 0)]["value"] == 4.0
+    assert found[("id", "mean", 0)]["value"] == 2.25
+    assert found[("name", "nulls", 0)]["value"] == 1.0
+    assert found[("name", "max", 0)]["label"] == "b"
+    assert found[("day", "min", 0)]["label"] == "2020-01-01"
+    firsts = [found[("name", "first_value", n)] for n in (1, 2, 3)]
+    assert [(r["label"], r["value"]) for r in firsts] == [(None, 1), ("a", 2), ("b", 1)]
+    assert sum(r["value"] for r in report if r["finding"] == "bin" and r["column_name"] == "day") == 3
+    assert found[("*", "duplicate_groups", 0)]["value"] == 1.0
+    assert found[("flag", "present", 0)]["value"] == 2.0
+
+
+def test_profile_of_an_empty_table(table):
+    report = profile.profile_table(table.limit(0), "t").collect()
+    assert {r["finding"] for r in report} == {
+        "present", "nulls", "mean", "sd", "min", "max", "duplicate_groups", "surplus_rows",
+    }
+    assert all(not r["value"] for r in report)
+
+
+def test_bounded_distributions_are_the_same(spark):
+    """Values behind the bound are left out of the group-by, NULL and the first ones are not."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 50 > 0, F.sha2(F.col("id").cast("string"), 256)).alias("many"),
+        (F.col("id") % 3).cast("string").alias("few"),
+        F.lit(None).cast("string").alias("none.at all"),
+    )
+    plain = profile.distributions(df, bound_first_bytes=1 << 62)
+    bounded = profile.distributions(df, bound_first_bytes=0)
+    assert rows(bounded) == rows(plain)
+
+
+def test_repeated_rows_are_combined_before_the_shuffle(spark):
+    """One row 50,000 times, and 50,000 rows once: the filter lets through hardly any of the latter."""
+    df = spark.range(0, 100_000, 1, 4).select(F.greatest("id", F.lit(50_000)).alias("x.y"), F.lit("s").alias("s"))
+    found = profile.duplicate_rows(df, hash_first_bytes=0)
+    assert tuple(found.first()) == (1, 50_000)
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    bits = profile._bit_filter(spark.range(1000).select(F.xxhash64("id").alias("__hash")))
+    slots = spark.range(2000).select("id", (F.pmod(F.xxhash64("id"), F.lit(profile.FILTER_BITS)) + 1).alias("slot"))
+    hit = slots.withColumn("__bucket", F.bitmap_bucket_number("slot")).join(bits, "__bucket").filter(
+        profile._bit_is_set(F.col("__bits"), F.bitmap_bit_position("slot"))
+    )
+    ids = {r["id"] for r in hit.collect()}
+    assert set(range(1000)) <= ids and len(ids) < 1010
