@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,27 +60,34 @@ def describe(df: DataFrame) -> DataFrame:
     Least and greatest are given as numbers for numeric columns and as text for
     texts and dates; mean and deviation only exist for numbers.
     """
-    missing_number = F.lit(None).cast("double")
-    missing_text = F.lit(None).cast("string")
     entries = []
     for field in df.schema.fields:
-        x = F.col(field.name)
-        number = x.cast("double") if _is_number(field) else None
-        ordered = _is_text(field) or _is_day(field)
-        entries.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.count(x).alias("present"),
-                F.count_if(x.isNull()).alias("nulls"),
-                (F.avg(number) if number is not None else missing_number).alias("mean"),
-                (F.stddev_samp(number) if number is not None else missing_number).alias("sd"),
-                (F.min(number) if number is not None else missing_number).alias("min_number"),
-                (F.max(number) if number is not None else missing_number).alias("max_number"),
-                (F.min(x).cast("string") if ordered else missing_text).alias("min_text"),
-                (F.max(x).cast("string") if ordered else missing_text).alias("max_text"),
-            )
-        )
-    return _report(df, entries)
+        x, number = _name(field.name), "cast(NULL AS double)"
+        found = dict.fromkeys(("mean", "sd", "min_number", "max_number"), number)
+        found |= dict.fromkeys(("min_text", "max_text"), "cast(NULL AS string)")
+        if _is_number(field):
+            number = f"cast({x} AS double)"
+            found |= {"mean": f"avg({number})", "sd": f"stddev_samp({number})"}
+            found |= {"min_number": f"min({number})", "max_number": f"max({number})"}
+        elif _is_text(field) or _is_day(field):
+            found |= {f"{f}_text": f"cast({f}({x}) AS string)" for f in ("min", "max")}
+        found = {"present": f"count({x})", "nulls": f"count_if({x} IS NULL)"} | found
+        values = ", ".join(f"{value} AS {name}" for name, value in found.items())
+        entries.append(f"struct({_text(field.name)} AS column_name, {values})")
+    return _sql_report(df, entries)
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_report(df: DataFrame, entries: Sequence[str]) -> DataFrame:
+    """``_report`` of SQL texts: one expression to build, however many columns there are."""
+    return df.agg(F.expr(f"array({', '.join(entries)})").alias("entries")).select(F.inline("entries"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -211,33 +217,21 @@ def histograms(
     NULL, NaN and infinities fall in no bin.
     """
     axes = {
-        f.name: F.when(F.abs(_axis(f)) < float("inf"), _axis(f))
+        f.name: f"CASE WHEN abs({_axis(f)}) < double('infinity') THEN {_axis(f)} END"
         for f in df.schema.fields
         if (columns is None or f.name in columns) and (_is_number(f) or _is_day(f))
     }
     if not axes:
         raise ValueError("no numeric or date column to draw a histogram of")
-    limits = _report(
+    limits = _sql_report(
         df,
         [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.min(axis).alias("low"),
-                F.max(axis).alias("high"),
-            )
+            f"struct({_text(name)} AS column_name, min({axis}) AS low, max({axis}) AS high)"
             for name, axis in axes.items()
         ],
     )
-    points = df.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(F.lit(name).alias("column_name"), axis.alias("x"))
-                    for name, axis in axes.items()
-                )
-            )
-        )
-    ).filter(F.col("x").isNotNull())
+    entries = ", ".join(f"struct({_text(name)} AS column_name, {axis} AS x)" for name, axis in axes.items())
+    points = df.select(F.expr(f"inline(array({entries}))")).filter(F.col("x").isNotNull())
     # One row per column of the table, so the broadcast has a fixed size.
     placed = points.join(F.broadcast(limits), "column_name")
     share = (F.col("x") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
@@ -272,22 +266,21 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
 
     Per column the lists are of fixed length, so the report grows with the columns and not with the rows.
     """
-    entries = []
-    for field in df.schema.fields:
-        x = F.col(f"`{field.name}`")
-        found = {"present": (None, F.count(x)), "nulls": (None, F.count_if(x.isNull()))}
-        if _is_number(field):
-            number = x.cast("double")
-            found["mean"], found["sd"] = (None, F.avg(number)), (None, F.stddev_samp(number))
-            found["min"], found["max"] = (None, F.min(number)), (None, F.max(number))
-        elif _is_text(field) or _is_day(field):
-            found["min"], found["max"] = (F.min(x), None), (F.max(x), None)
-        entries += [
-            _finding(field.name, name, label=label, value=value)
-            for name, (label, value) in found.items()
-        ]
+    fields = df.schema.fields
+    numbers = [f.name for f in fields if _is_number(f)]
+    ordered = [f.name for f in fields if _is_text(f) or _is_day(f)]
+    column, number = F.col("column_name"), F.col("column_name").isin(numbers)
+    limits = number | column.isin(ordered)
+    findings = [
+        _finding(column, "present", value=F.col("present")),
+        _finding(column, "nulls", value=F.col("nulls")),
+        F.when(number, _finding(column, "mean", value=F.col("mean"))),
+        F.when(number, _finding(column, "sd", value=F.col("sd"))),
+        F.when(limits, _finding(column, "min", None, F.col("min_text"), F.col("min_number"))),
+        F.when(limits, _finding(column, "max", None, F.col("max_text"), F.col("max_number"))),
+    ]
     parts = [
-        _report(df, entries),
+        describe(df).select(F.inline(F.array_compact(F.array(*findings)))),
         duplicate_rows(df).select(
             F.inline(
                 F.array(
@@ -296,13 +289,13 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
             )
         ),
     ]
-    if any(_is_text(f) for f in df.schema.fields):
+    if any(_is_text(f) for f in fields):
         first = _finding(F.col("column_name"), "first_value", F.col("place"), F.col("value"), F.col("rows"))
         parts.append(distributions(df).select(first.alias("x")).select("x.*"))
-    if any(_is_number(f) or _is_day(f) for f in df.schema.fields):
+    if any(_is_number(f) or _is_day(f) for f in fields):
         bins = _finding(F.col("column_name"), "bin", F.col("bin"), value=F.col("rows"))
         parts.append(histograms(df).select(bins.alias("x")).select("x.*"))
-    report = reduce(DataFrame.unionByName, parts)
+    report = _union(parts)
     return report.select(F.lit(table).alias("table_name"), *report.columns)
 
 
@@ -323,17 +316,22 @@ def _finding(
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, (profile_table(df, name) for name, df in tables.items())
-    )
+    return _union([profile_table(df, name) for name, df in tables.items()])
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    """All rows of the parts. Halves are joined, as each union is analysed with all below it."""
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return _union(parts[:middle]).union(_union(parts[middle:]))
 
 
-def _axis(field: T.StructField) -> Column:
-    x = F.col(field.name)
+def _axis(field: T.StructField) -> str:
+    x = _name(field.name)
     if _is_day(field):
-        return F.datediff(x.cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
-    number = x.cast("double")
-    return F.when(~F.isnan(number), number)
+        return f"cast(datediff(cast({x} AS date), date '1970-01-01') AS double)"
+    return f"nanvl(cast({x} AS double), NULL)"
 
 
 def _pairs(
