@@ -40,8 +40,8 @@ from martflow.sources.workdir import store
 
 LENGTH = 100
 ANCHOR = 40
-#: Strings of a block that are looked at together; places within them take 24 bits.
-PIECE = 1 << 21
+#: Strings of a block that are looked at together, at about 100 bytes each; places within them take 24 bits.
+PIECE = 1 << 19
 _PLACE_BITS = 24
 #: One of so many short texts, and of pieces of long ones, is in the sample for hot anchors.
 SAMPLE, SAMPLE_BYTES = 32, 1 << 14
@@ -435,7 +435,8 @@ def without_repeats(
                     kept.append(raw[at:a])
                     at = b
                 kept = b"".join([*kept, raw[at:]])
-                rows.append((len(raw), [{"start": a, "end": b} for a, b in found], hashlib.sha256(kept).hexdigest(), kept))
+                mark = hashlib.sha256(kept).hexdigest()
+                rows.append((len(raw), [{"start": a, "end": b} for a, b in found], mark, kept if with_bytes else None))
             size, own, marks, kept = zip(*rows, strict=True) if rows else ([], [], [], [])
             columns = [batch.column("key"), pa.array(size, pa.int64()), pa.array(own, pa.list_(pair)), pa.array(marks, pa.string())]
             if with_bytes:
