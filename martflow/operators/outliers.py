@@ -74,8 +74,8 @@ def handle_outliers(
         low, high = (F.lit(None).cast("double"),) * 2 if fences is None else map(F.lit, fences)
         inside = x.between(low, high)
     else:
-        bounds = zscore_fences(df, column, threshold)
-        low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+        bounds = zscore_fences(df, column, threshold).select(F.struct("low", "high")).scalar()
+        low, high = bounds["low"], bounds["high"]
         inside = (x > low) & (x < high)
     if strategy == "remove":
         return df.filter(inside | x.isNull()) if keep_nulls else df.filter(inside)
@@ -91,13 +91,18 @@ def remove_outliers_chain(
 ) -> DataFrame:
     """Z-score removal on each column in turn, statistics on the survivors.
 
-    Every step scans its input again for two numbers, so ``df`` should be a
-    stored table; ``store`` may write the survivors between the steps.
+    Every step takes a job that scans its input for two numbers, so ``df`` should be a
+    stored table; ``store`` may write the survivors between the steps. The numbers enter the plan as
+    they are: it grows by one range per column, which is pushed to the scan, where
+    fences as subqueries would each hold those before them.
     """
     for number, column in enumerate(columns):
         if number and store is not None:
             df = store(df)
-        df = handle_outliers(df, column, "zscore", "remove", threshold)
+        low, high = zscore_fences(df, column, threshold).first()
+        x = F.col(column)
+        # without values there are no fences, and every row is NULL or NaN
+        df = df.filter(F.lit(False) if low is None else (x > F.lit(low)) & (x < F.lit(high)))
     return df
 
 

@@ -57,16 +57,43 @@ def scan_table(spark: SparkSession, database: str, table: str) -> DataFrame:
 def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """The old columns in their order, then those that are new.
 
-    A column whose new type differs must fit the old one: a published type stays, and
-    values that it cannot hold would be cut unnoticed.
+    A column keeps its published type if that holds all values of the new one, and takes the wider
+    number type of the two if not. Anything else is an error: values would be cut unnoticed.
     """
-    for field in new.fields:
-        if field.name in old.names and not _fits(field.dataType, old[field.name].dataType):
-            raise ValueError(
-                f"column {field.name} is published as {old[field.name].dataType.simpleString()}, "
-                f"which cannot hold {field.dataType.simpleString()}"
-            )
-    return T.StructType([*old.fields, *(f for f in new.fields if f.name not in old.names)])
+    fields = []
+    for field in old.fields:
+        if field.name in new.names:
+            wide = merged_type(field.dataType, new[field.name].dataType)
+            if wide is None:
+                raise ValueError(
+                    f"column {field.name} is published as {field.dataType.simpleString()}, "
+                    f"which cannot hold {new[field.name].dataType.simpleString()}"
+                )
+            field = T.StructField(field.name, wide, field.nullable, field.metadata)
+        fields.append(field)
+    return T.StructType([*fields, *(f for f in new.fields if f.name not in old.names)])
+
+
+def merged_type(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The published type if it holds the new one, else the least number type that holds both."""
+    if _fits(new, old):
+        return old
+    if isinstance(old, T.FloatType) and isinstance(new, T.DoubleType):
+        return new
+    shapes = [_shape(t) for t in (old, new)]
+    if None in shapes:
+        return None
+    if _fits(old, new):
+        return new
+    whole, scale = (max(part) for part in zip(*shapes))
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+
+
+def _shape(kind: T.DataType) -> tuple[int, int] | None:
+    """Digits before and behind the point of an exact number."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    return (_WHOLE[type(kind)], 0) if type(kind) in _WHOLE else None
 
 
 _WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -119,8 +146,8 @@ def publish_external(
 ) -> DataFrame:
     """Replace the rows of an external table, by column name.
 
-    New columns are added to the published schema and columns that are gone stay
-    as NULL. Rows go to a fresh folder below ``location`` and the table is pointed
+    New columns are added to the published schema, columns that are gone stay
+    as NULL, and a column of numbers takes a wider type where the rows need it. Rows go to a fresh folder below ``location`` and the table is pointed
     to it afterwards: readers see the old rows until then, a failed write leaves
     them in place, and the rows may come from the published table itself.
     """
@@ -134,6 +161,11 @@ def publish_external(
     old = spark.table(name).schema
     schema = merged_schema(old, df.schema)
     conform(df, schema).write.format(format).save(version)
+    if schema.fields[: len(old)] != old.fields:
+        # the catalog cannot change a type; dropping an external table leaves its files alone
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(full_name, path=version, source=format, schema=schema)
+        return spark.table(name)
     added = [f for f in schema.fields if f.name not in old.names]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)

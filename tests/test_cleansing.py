@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.contract import Contract
-from martflow.operators import nulls
+from martflow.operators import nulls, quantiles
 from martflow.operators.casting import cast_report, cast_to_contract, prefix_shared_columns
 from martflow.operators.dedupe import dedupe, dedupe_chain
 from martflow.operators.outliers import handle_outliers, iqr_fences, remove_outliers_chain
@@ -149,6 +153,63 @@ def test_several_quantiles_at_once(spark):
     assert found == [10.0, 250.0, 251.0, 500.0, 500.0, 999.0]
 
 
+class _Scans:
+    """Counts the jobs that bring rows to the driver."""
+
+    def __init__(self, monkeypatch):
+        self.taken = 0
+        for name in ("collect", "first"):
+            plain = getattr(DataFrame, name)
+
+            def counted(df, plain=plain):
+                self.taken += self.open == 0
+                self.open += 1
+                try:
+                    return plain(df)
+                finally:
+                    self.open -= 1
+
+            monkeypatch.setattr(DataFrame, name, counted)
+        self.open = 0
+
+
+@pytest.mark.parametrize("infinite", [0, 700])
+def test_three_scans_find_quantiles_of_skewed_values(spark, monkeypatch, infinite):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.lognormal(3, 2.5, 40_000), [math.inf] * infinite, [-math.inf] * (infinite // 2)])
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(6).cache()
+    df.count()
+    asked = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    ordered = np.sort(values)
+    wanted = [float(ordered[max(1, math.ceil(Fraction(str(p)) * len(values))) - 1]) for p in asked]
+    scans = _Scans(monkeypatch)
+    assert exact_quantiles(df, "x", asked) == wanted
+    assert scans.taken <= 3
+    # coarse sketches and short lists take more scans, and give the same
+    assert exact_quantiles(df, "x", asked, bins=7, accuracy=5, most_values=10) == wanted
+    df.unpersist()
+
+
+def test_a_bracket_that_misses_its_rank_is_replaced(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_sides", lambda accuracy: (0.3, 0.4))
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    assert exact_quantiles(df, "x", [0.1, 0.25, 0.5]) == [99.0, 249.0, 499.0]
+
+
+def test_chain_plans_grow_by_one_range_per_column(spark):
+    names = [f"c{i}" for i in range(8)]
+    df = spark.range(200).select(*((F.col("id") * (i + 1) % 97).cast("double").alias(c) for i, c in enumerate(names)))
+    df = store(df)
+    sizes = [len(remove_outliers_chain(df, names[:n], 1.5)._jdf.queryExecution().toString()) for n in (2, 4, 8)]
+    assert sizes[2] - sizes[1] < 3 * (sizes[1] - sizes[0])
+    assert "subquery" not in remove_outliers_chain(df, names, 1.5)._jdf.queryExecution().toString().lower()
+
+
+def test_chain_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert remove_outliers_chain(df, ["a", "b"]).count() == 0
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([(NAN,), (1.0,), (None,)], "x double")
     assert exact_quantiles(df, "x", [0.25, 0.75]) == [1.0, 1.0]

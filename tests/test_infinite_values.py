@@ -37,6 +37,8 @@ def test_published_types_must_hold_new_values(spark):
 
     for old, new in (("x bigint", "x int"), ("x double", "x int"), ("x string", "x double"), ("x int", "x int, y int")):
         assert merged_schema(schema(old), schema(new))["x"] == schema(old)["x"]
-    for old, new in (("x int", "x double"), ("x int", "x bigint"), ("x date", "x timestamp"), ("x decimal(5,2)", "x decimal(6,3)")):
+    for old, new in (("x int", "x bigint"), ("x decimal(5,2)", "x decimal(6,3)"), ("x float", "x double")):
+        assert merged_schema(schema(old), schema(new))["x"] == schema(new)["x"]
+    for old, new in (("x int", "x double"), ("x date", "x timestamp"), ("x double", "x decimal(5,2)"), ("x int", "x string")):
         with pytest.raises(ValueError, match="cannot hold"):
             merged_schema(schema(old), schema(new))

@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.operators import quality
 from martflow.plans import run
@@ -127,6 +128,33 @@ def test_publish_merges_schemas_and_may_read_itself(spark, layers, database):
     assert again.count() == 2
 
 
+def test_publication_widens_numbers(spark, layers, database):
+    location = layers.path(DATA_MART, "w")
+    kinds = []
+    for text in ("1", "3000000000L", "12345678901234567890BD", "1.25BD", "7"):
+        found = catalog.publish_external(spark.sql(f"SELECT {text} AS a, 'x' AS b"), database, "w", location)
+        kinds.append(found.schema["a"].dataType.simpleString())
+        assert str(found.first()["a"]).startswith(text.rstrip("LBD"))
+        assert spark.table(f"{database}.w").schema == found.schema
+    assert kinds == ["int", "bigint", "decimal(20,0)", "decimal(22,2)", "decimal(22,2)"]
+    for text in ("'text'", "1.5D", "date '2020-01-01'"):
+        with pytest.raises(ValueError, match="cannot hold"):
+            catalog.publish_external(spark.sql(f"SELECT {text} AS a"), database, "w", location)
+    assert spark.table(f"{database}.w").first()["a"] == 7
+
+
+def test_merged_types():
+    decimal = T.DecimalType
+    assert catalog.merged_type(T.LongType(), T.IntegerType()) == T.LongType()
+    assert catalog.merged_type(T.IntegerType(), decimal(12, 2)) == decimal(12, 2)
+    assert catalog.merged_type(T.LongType(), decimal(12, 2)) == decimal(21, 2)
+    assert catalog.merged_type(decimal(38, 0), decimal(5, 4)) is None
+    assert catalog.merged_type(T.FloatType(), T.DoubleType()) == T.DoubleType()
+    assert catalog.merged_type(T.LongType(), T.DoubleType()) is None
+    assert catalog.merged_type(T.StringType(), T.IntegerType()) == T.StringType()
+    assert catalog.merged_type(T.IntegerType(), T.StringType()) is None
+
+
 def test_insert_overwrite_is_by_name(spark, database):
     table = catalog.create_managed(spark.sql("SELECT 1 AS a, 2 AS b"), database, "m")
     assert table.first() == (1, 2)
