@@ -12,6 +12,11 @@ there are at most MAX_HOT_KEYS of them, which bounds what is broadcast to mark
 them. A key gets as many salts as its rows fill tasks of ``min_hot_rows``. Salts only
 route rows: whichever keys are marked, the result is the plain join.
 
+Hot keys are found without a shuffle of all keys. Each task counts its rows in HOT_CELLS cells by
+the hash of their key, and the cells are added up; a hot key makes its cell hot. Keys are counted, in the
+map tasks first, only among the rows of hot cells: these are hot keys and the one in ten thousand or so
+that share a cell with one, since a cell holds a tenth of a hot key's least rows on average.
+
 A salt is a hash of the row, not a random number: a task that is run again
 after the loss of an executor sends every row where it went the first time. Rows that
 are equal in all columns share a salt, so keep a row's identity until after the join.
@@ -28,10 +33,12 @@ from pyspark.sql import functions as F
 from martflow.functions.sizing import fits_broadcast, input_bytes
 
 MAX_HOT_KEYS = 100_000
+#: Counters of rows by key hash; ten times the greatest number of hot keys.
+HOT_CELLS = 1 << 20
 #: Rows without a key have no partner, so spreading them widely costs nothing.
 NULL_SALTS = 1 << 16
 
-_HOT, _SALT, _HIT = "__hot", "__salt", "__hit"
+_HOT, _SALT, _HIT, _CELL = "__hot", "__salt", "__hit", "__cell"
 
 
 @dataclass(frozen=True)
@@ -55,10 +62,34 @@ def count_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW) -> DataFrame:
-    """The hot keys of a table with ``rows`` per key, and the number of salts of each."""
+def find_hot_keys(
+    df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW, cells: int = HOT_CELLS
+) -> DataFrame:
+    """The hot keys of *df* and the number of salts of each, by way of the cells of their hashes."""
+    keyed = df.filter(~_any_null(keys)).select(*keys)
+    marked = keyed.withColumn(_CELL, F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
+    counts = marked.groupBy(_CELL).agg(F.count(F.lit(1)).alias("rows"))
     total = counts.agg(F.sum("rows").alias("total")).scalar()
-    hot = (F.col("rows") >= skew.min_hot_rows) & (F.col("rows") >= total / F.lit(MAX_HOT_KEYS))
+    # at most MAX_HOT_KEYS cells
+    hot = F.broadcast(counts.filter(_is_hot(total, skew)).select(_CELL))
+    few = marked.join(hot, _CELL, "left_semi")
+    return hot_keys(count_keys(few, keys), keys, skew, total)
+
+
+def _is_hot(total: Column, skew: Skew) -> Column:
+    return (F.col("rows") >= skew.min_hot_rows) & (F.col("rows") >= total / F.lit(MAX_HOT_KEYS))
+
+
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT_SKEW, total: Column | None = None
+) -> DataFrame:
+    """The hot keys of a table with ``rows`` per key, and the number of salts of each.
+
+    ``total`` are all rows, where the table does not list all keys.
+    """
+    if total is None:
+        total = counts.agg(F.sum("rows").alias("total")).scalar()
+    hot = _is_hot(total, skew)
     salts = F.greatest(F.lit(skew.salts), F.ceil(F.col("rows") / F.lit(skew.min_hot_rows)))
     return counts.filter(hot & ~_any_null(keys)).select(*keys, salts.cast("int").alias(_HOT))
 
@@ -69,12 +100,14 @@ def lookup_join(
     on: str | Sequence[str],
     *,
     counts: DataFrame | None = None,
+    base: DataFrame | None = None,
     size: int | None = None,
     skew: Skew = DEFAULT_SKEW,
     how: str = "left",
 ) -> DataFrame:
     """``many`` left or inner join ``one``, for keys that repeat in ``many``.
 
+    ``base`` is that base, where its keys have not been counted for another purpose.
     ``size`` is the measured size of ``one`` where it is known; else that of its inputs decides.
 
     ``counts`` (key, rows) gives the weight of the keys where ``many`` is itself a
@@ -85,7 +118,10 @@ def lookup_join(
         return many.join(F.broadcast(one), keys, how)
     if input_bytes(many) < skew.min_bytes:
         return many.join(one, keys, how)
-    hot = hot_keys(count_keys(many, keys) if counts is None else counts, keys, skew)
+    if counts is None:
+        hot = find_hot_keys(many if base is None else base, keys, skew)
+    else:
+        hot = hot_keys(counts, keys, skew)
     left = _salt_rows(many, keys, hot)
     right = _repeat_rows(one, keys, hot).drop(_HOT)
     return left.join(right, [*keys, _SALT], how).drop(_SALT)
@@ -107,7 +143,7 @@ def expand_join(
     if input_bytes(many) < skew.min_bytes:
         return one.join(many, keys, "left")
     keyed = many.filter(~_any_null(keys))
-    hot = hot_keys(count_keys(keyed, keys), keys, skew)
+    hot = find_hot_keys(keyed, keys, skew)
     left = _repeat_rows(one, keys, hot)
     right = _salt_rows(keyed, keys, hot).withColumn(_HIT, F.lit(True))
     joined = left.join(right, [*keys, _SALT], "left")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.operators.joins import DEFAULT_SKEW, Skew, count_keys, lookup_join
+from martflow.operators.joins import DEFAULT_SKEW, Skew, lookup_join
 from martflow.plans.star import FACT
 from martflow.sources.lookups import Calendar
 from martflow.sources.workdir import stage
@@ -113,11 +113,11 @@ def with_products(
     rows: DataFrame,
     products: DataFrame,
     skew: Skew = DEFAULT_SKEW,
-    counts: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with their product, whose own id replaces the fact's."""
     known = products.withColumn("__product_id", F.col("product_id"))
-    joined = lookup_join(rows, known, "product_id", counts=counts, skew=skew)
+    joined = lookup_join(rows, known, "product_id", base=base, skew=skew)
     return joined.drop("product_id").withColumnRenamed("__product_id", "product_id")
 
 
@@ -159,7 +159,7 @@ def build_mart(
 
     def lookup(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
         # Keys are counted on the fact itself, not on what is joined so far.
-        return lookup_join(rows, dim, key, counts=count_keys(fact, [key]), skew=skew)
+        return lookup_join(rows, dim, key, base=fact, skew=skew)
 
     if "customers" in parts:
         buyers = stage(customers_with_flag(star["customers_dim"], fact, thresholds), "customers")
@@ -185,7 +185,7 @@ def build_mart(
             rows = lookup(rows, days, id_column)
     if "products" in parts:
         products = star["products_dim"].withColumnRenamed("list_price", "product_list_price")
-        sold = with_products(rows, products, skew, count_keys(fact, ["product_id"]))
+        sold = with_products(rows, products, skew, fact)
         unsold = unsold_products(fact, products)
         rows = sold.unionByName(unsold, allowMissingColumns=True)
 

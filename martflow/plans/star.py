@@ -11,7 +11,6 @@ from martflow.operators.casting import drop_audit_columns
 from martflow.operators.joins import (
     DEFAULT_SKEW,
     Skew,
-    count_keys,
     expand_join,
     lookup_join,
 )
@@ -58,8 +57,7 @@ def products_dim(
     """Products with the names of their brand and category in place of the ids."""
     named = plain_dim(products)
     for key, names in (("brand_id", brands), ("category_id", categories)):
-        counts = count_keys(products, [key])
-        named = lookup_join(named, plain_dim(names), key, counts=counts, skew=skew)
+        named = lookup_join(named, plain_dim(names), key, base=products, skew=skew)
     return named.drop("brand_id", "category_id")
 
 

@@ -5,10 +5,12 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from martflow.operators.joins import (
+    HOT_CELLS,
     MAX_HOT_KEYS,
     Skew,
     count_keys,
     expand_join,
+    find_hot_keys,
     hot_keys,
     lookup_join,
 )
@@ -45,6 +47,29 @@ def test_every_heavy_key_is_hot_and_salted_by_its_weight(spark):
     assert len(found) <= MAX_HOT_KEYS
 
 
+def test_hot_keys_found_by_cells_are_those_of_all_counts(spark):
+    """1,500 hot keys among 20,000, beside keys of NULL; with many cells and with hardly any."""
+    key = F.when(F.col("id") % 7 == 0, F.col("id") % 20_000 + 10_000).otherwise(F.col("id") % 1500)
+    df = spark.range(0, 300_000, 1, 6).select(F.when(F.col("id") % 97 > 0, key).alias("k"), F.lit("a").alias("part"))
+    skew = Skew(min_hot_rows=100, salts=2)
+    wanted = rows(hot_keys(count_keys(df.filter("k IS NOT NULL"), ["k"]), ["k"], skew))
+    assert len(wanted) == 1500
+    for cells in (HOT_CELLS, 64, 1):
+        assert rows(find_hot_keys(df, ["k"], skew, cells)) == wanted
+    assert rows(find_hot_keys(df, ["k", "part"], skew).drop("part")) == wanted
+    assert find_hot_keys(df.limit(0), ["k"], skew).isEmpty()
+
+
+def test_only_keys_of_hot_cells_are_counted(spark):
+    """Of 100,000 keys with three rows and one with a third of all, hardly more than the latter is shuffled."""
+    df = spark.range(0, 400_000, 1, 4).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id") % 100_000).alias("k"))
+    found = find_hot_keys(df, ["k"], Skew(min_hot_rows=50_000))
+    assert [r["k"] for r in found.collect()] == [-1]
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert plan.index("hashpartitioning(k") < plan.index("LeftSemi")  # the shuffle of keys is above the filter
+
+
 def test_hot_keys_are_bounded_by_their_share(spark):
     counts = spark.range(10).select(F.col("id").alias("k"), F.lit(5).alias("rows"))
     heavy = spark.createDataFrame([(100, 5 * MAX_HOT_KEYS)], "k bigint, rows int")
