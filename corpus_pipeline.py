@@ -6,40 +6,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm import lines, packing, phrases, quality, simhash
-from martflow.llm.tables import store
+from martflow.llm.tables import held, released, store
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores one half or more."""
+    """Documents that the quality classifier scores one half or more.
+
+    NULL and empty texts score by the model's bias alone. Each row is judged for itself, also one that is
+    repeated or has no key. An empty table stays empty; without labels every score is one half.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels.filter(~quality.held_out(F.col("doc_id"))))
-    return quality.with_score(docs, model, "text", "__score").filter("__score >= 0.5").drop("__score")
+    rows = docs.select("text", held(docs, "text").alias("held"))
+    good = quality.with_score(rows, model, "text", "score").filter("score >= 0.5")
+    return good.select(*released(docs, "held", text="text"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that are similar to an earlier line; ``n_chars`` follows the text."""
-    kept = lines.dedup_lines(docs)
-    changed = F.size("removed_lines") > 0
-    size = F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", size).select(*docs.columns)
+    """All documents, without lines that are similar to an earlier line; ``n_chars`` follows the text.
+
+    NULL and empty texts stay as they are. Rows that agree in key and text lose the same lines; rows
+    without a key come first in the order of documents.
+    """
+    apart = ("doc_id", "text", "n_chars")
+    kept = lines.dedup_lines(docs.select(*apart, held(docs, *apart).alias("held")))
+    size = F.when(F.size("removed_lines") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    done = kept.withColumn("n_chars", size)
+    return done.select(*released(docs, "held", **{c: c for c in apart}))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of near duplicates."""
+    """The first document of every group of near duplicates.
+
+    NULL, empty and blank texts are near duplicates of each other. Rows without a key come last, and of
+    repeated rows one stays.
+    """
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item.
+
+    NULL and empty texts have none. Repeated rows and rows without a key stay or go by their own text;
+    without items all stay.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    found = phrases.contamination(rows, items, key="__row")
-    hit = found.filter("contaminated").select("__row").distinct()
-    return rows.join(hit, "__row", "left_anti").select(*docs.columns)
+    mark = F.xxhash64("doc_id", "text").alias("mark")
+    found = phrases.contamination(docs.select(mark, "text"), items, key="mark")
+    hit = found.filter("contaminated").select("mark").distinct()
+    rows = docs.select(mark, held(docs).alias("held"))
+    return rows.join(hit, "mark", "left_anti").select(*released(docs, "held"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their place in sequences of 4096 tokens."""
+    """Pieces of the documents with their place in sequences of 4096 tokens.
+
+    NULL and empty texts are a piece of the end id alone. Each row is packed, also one that is repeated or
+    has no key.
+    """
     return packing.packed(docs)
 
 

@@ -146,7 +146,11 @@ def fit(
     label: str = "quality",
     rows_per_label: int = ROWS_PER_LABEL,
 ) -> Model:
-    """Learn from labelled rows. Labels other than 0 and 1, and NULL keys, are passed over."""
+    """Learn from labelled rows, at most *rows_per_label* of each label.
+
+    Labels other than 0 and 1, and NULL keys, are passed over. Of the rows that share a key, and of
+    repeated labels, one is learned from: that with the least hash of its text.
+    """
     chosen = None
     for value in (0, 1):
         part = (
@@ -159,7 +163,9 @@ def fit(
         chosen = part if chosen is None else chosen.unionByName(part)
     # at most 2 * rows_per_label rows, by the limits above
     texts = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return learn(_examples(texts.join(F.broadcast(chosen), "k"), "t", "y"))
+    rows = texts.join(F.broadcast(chosen), "k")
+    one = rows.groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    return learn(_examples(one.orderBy("k", "y"), "t", "y"))
 
 
 def with_score(df: DataFrame, model: Model, text: str, name: str) -> DataFrame:
@@ -195,7 +201,7 @@ def quality_scores(
 
     ``predicted`` is 1 where the score is at least one half. A row with a NULL key is
     scored and not held out, but never learned from. Labels of keys that occur repeatedly
-    count once per row. Without labels every score is one half.
+    count once. Without labels every score is one half.
     """
     model = fit(documents, labels.filter(~held_out(F.col(key))), key, text)
     plain = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))

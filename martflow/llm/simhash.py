@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from martflow.llm.blocks import blocks
 from martflow.llm.graph import components
+from martflow.llm.tables import held, released
 from martflow.sources.workdir import store
 
 BITS = 64
@@ -304,18 +305,24 @@ def keep_one(
     """The rows of *df*, all columns, that are the first of their group of near duplicates.
 
     First is the least key, then the least hash of the text; NULL keys come last. Of rows
-    that agree in key and text one stays. Groups are those of :func:`near_duplicates`.
+    that agree in key and text one stays. Groups are those of :func:`near_duplicates`. A NULL text
+    is the empty one. Other columns may have any names.
     """
-    own = ["__none", "__key", "__mark"]
+    own = ["none", "key", "mark"]
     value = F.coalesce(F.col(text), F.lit(""))
-    rows = df.withColumns(
-        {
-            "__none": F.col(key).isNull(),
-            "__key": F.coalesce(F.col(key).cast("bigint"), F.lit(0)),
-            "__mark": F.xxhash64(value),
-        }
+    rows = df.select(
+        F.col(key).isNull().alias("none"),
+        F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("key"),
+        F.xxhash64(value).alias("mark"),
+        held(df).alias("held"),
     )
-    marked = with_fingerprint(rows.select(*own, value.alias("text")), "text", "print", shingle)
+    texts = df.select(
+        F.col(key).isNull().alias("none"),
+        F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("key"),
+        F.xxhash64(value).alias("mark"),
+        value.alias("text"),
+    )
+    marked = with_fingerprint(texts, "text", "print", shingle)
     marked = store(marked.select(F.struct(*own).alias("row"), "print"), "prints")
     nodes = store(marked.groupBy("print").agg(F.min("row").alias("least")), "print_nodes")
     roots = components(near_links(nodes, distance), "a", "b")
@@ -326,4 +333,4 @@ def keep_one(
         .select("row.*")
     )
     kept = rows.join(first, own, "left_semi").dropDuplicates(own)
-    return kept.select(*[F.col(c) for c in df.columns])
+    return kept.select(*released(df, "held"))
