@@ -444,7 +444,7 @@ ORACLE["fact_store_check"] = ctes(*src("orders", "order_items", "stores"), CALEN
 _ORPHANS = " UNION ALL ".join(
     f"SELECT '{k}' AS column_name, '{d}' AS dim_name, count(DISTINCT {k}) AS orphan_keys, "
     f"count(*) AS orphan_rows FROM fact WHERE {k} IS NOT NULL "
-    f"AND {k} NOT IN (SELECT {k} FROM {source})"
+    f"AND {k} NOT IN (SELECT {'status_id' if d == 'statuses' else k} FROM {source})"
     for k, d, source in (
         (
             "customer_id",
@@ -453,11 +453,17 @@ _ORPHANS = " UNION ALL ".join(
         ),
         ("product_id", "products", "src_products"),
         ("store_id", "stores", "src_stores"),
+        ("staff_id", "staffs", "src_staffs"),
+        ("order_status", "statuses", "statuses"),
     )
 )
 ORACLE["fk_orphans"] = (
     ctes(
-        *src("orders", "order_items", "customers", "products", "stores"), _POSTAL, CALENDAR, fact()
+        *src("orders", "order_items", "customers", "products", "stores", "staffs"),
+        _POSTAL,
+        CALENDAR,
+        STATUS,
+        fact(),
     )
     + _ORPHANS
 )
@@ -942,7 +948,7 @@ ORACLE["kpi_customers_total"] = MART + f"SELECT count(DISTINCT customer_id) AS c
 ORACLE["kpi_customer_value"] = MART + f"SELECT * FROM {_VALUES}"
 ORACLE["kpi_clv"] = MART + (
     "SELECT round(avg(value), 2) AS mean_value, round(avg(active_years), 4) AS mean_years, "
-    f"round(avg(value) * avg(active_years), 0) AS clv FROM {_VALUES}"
+    f"round(avg(value) * avg(active_years), 2) AS clv FROM {_VALUES}"
 )
 ORACLE["kpi_retention_rate"] = MART + f"SELECT {retained(2)} FROM {_CUSTOMERS}"
 ORACLE["kpi_customer_distribution"] = MART + (

@@ -467,6 +467,8 @@ def fk_orphans(spark, sf_dir):
             "customer_id": ("customers", known, "customer_id"),
             "product_id": ("products", tables["products"], "product_id"),
             "store_id": ("stores", tables["stores"], "store_id"),
+            "staff_id": ("staffs", tables["staffs"], "staff_id"),
+            "order_status": ("statuses", standins.statuses(spark), "status_id"),
         },
     )
 
@@ -776,7 +778,7 @@ _MEASURES = {
         lambda mart: measures.customer_lifetime_value(mart).select(
             F.round("mean_value", 2).alias("mean_value"),
             F.round("mean_years", 4).alias("mean_years"),
-            F.round("clv", 0).alias("clv"),
+            F.round("clv", 2).alias("clv"),
         ),
         ("dates",),
     ),
