@@ -290,6 +290,77 @@ def test_personal_data(spark, odd, empty):
     assert pii.personal_data(empty).count() == 0
 
 
+def _base_spans(text):
+    """The base kinds by plain regular expressions, in the order in which they are listed."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[ -]?[0-9])+",
+        "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    }
+
+    def valid(kind, match):
+        digits = [int(c) for c in match if c in "0123456789"]
+        if kind == "ip":
+            return all(int(part) <= 255 for part in match.split("."))
+        if kind == "card":
+            twice = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))]
+            return 14 <= len(digits) <= 19 and sum(twice) % 10 == 0
+        return kind == "email" or 10 <= len(digits) <= 15
+
+    found = [
+        (m.start(), i, m.end(), kind)
+        for i, (kind, pattern) in enumerate(patterns.items())
+        for m in re.finditer(pattern, text or "")
+        if valid(kind, m.group())
+    ]
+    return sorted(found)
+
+
+def test_personal_data_equals_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    found = {r["doc_id"]: r for r in queries.op5(spark, sf_dir).collect()}
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        base = _base_spans(text)
+        digest = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in base)
+        assert found[doc_id]["base_sha256"] == hashlib.sha256(digest.encode()).hexdigest()
+        for i, kind in enumerate(("email", "ip", "card", "phone")):
+            assert found[doc_id][f"n_{kind}"] == sum(x[1] == i for x in base)
+        listed = found[doc_id]["spans"].split(",") if found[doc_id]["spans"] else []
+        assert set(digest.split(",")) - {""} <= set(listed)
+        for span in set(listed) - set(digest.split(",")):
+            kind, start, end = span.split(":")
+            assert kind in ("iban", "ssn", "secret") and text[int(start) : int(end)].strip()
+
+
+def test_personal_data_of_a_text_of_matches(spark):
+    """Places stay right in a text of many matches, and the work does not grow with their square."""
+    n = 50_000
+    text = " ".join(f"é user{i}@example.org 10.0.{i % 300}.1" for i in range(n))
+    found = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id int, text string")).head()
+    assert [(x["start"], x["order"], x["end"], x["kind"]) for x in found["base"]] == _base_spans(text)
+    assert found["n_email"] == n
+
+
+def test_personal_data_added_kinds(spark):
+    hex_ = "11acdfb36bb72224148e6160f674b4be45601bff"
+    cases = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF": ["iban:5:32"],
+        "IBAN DE89370400440532013000 GB82WEST12345698765432": ["iban:5:27", "iban:28:50"],
+        "IBAN DE89370400440532013001": [],  # checksum
+        "IBAN DE8937040044053201300": [],  # length
+        f'token = "{hex_}"': ["secret:9:49"],
+        f"commit {hex_}": [],  # no context
+        "secret " + "a" * 40 + " key " + "1" * 40: [],
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(rows).collect()}
+    for i, (text, spans) in enumerate(cases.items()):
+        added = [f"{x['kind']}:{x['start']}:{x['end']}" for x in found[i] if x["order"] > 3]
+        assert added == spans, text
+
+
 def test_imatch(spark, docs, texts, odd, empty):
     found = {r["doc_id"]: r for r in imatch.edited_fingerprints(docs).collect()}
     alike = 0
