@@ -534,7 +534,9 @@ def _late(rows, similarity=0.8):
     return gone
 
 
-def test_line_dedup_equals_brute_force(spark, texts, odd, empty):
+@pytest.mark.parametrize("hot_rank", [lines.HOT_RANK, 3])
+def test_line_dedup_equals_brute_force(spark, texts, odd, empty, hot_rank, monkeypatch):
+    monkeypatch.setattr(lines, "HOT_RANK", hot_rank)  # with three, words found four times take the way of hot words
     words = [f"w{i}" for i in range(40)]
     rng = np.random.default_rng(2)
     rows = list(texts[:25])
