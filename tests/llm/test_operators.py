@@ -486,6 +486,21 @@ def test_packed_sequences(docs, odd, empty):
     assert packing.packed(empty).count() == 0
 
 
+def test_packed_pieces_hold_every_id_once(spark, sf_dir):
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids + [2] for i, t in rows}
+    ends = dict.fromkeys(ids, 0)
+    for r in sorted(queries.op9(spark, sf_dir).collect(), key=lambda r: (r["doc_id"], r["start"])):
+        own = ids[r["doc_id"]]
+        assert r["start"] == ends[r["doc_id"]] and r["doc_tokens"] == len(own)
+        piece = own[r["start"] : r["start"] + r["length"]]
+        assert len(piece) == r["length"] > 0
+        assert r["ids_crc32"] == zlib.crc32(np.array(piece, "<u4").tobytes())
+        ends[r["doc_id"]] += r["length"]
+    assert ends == {i: len(own) for i, own in ids.items()}
+
+
 def test_license_scan(spark, odd, empty):
     mit = licenses.TEMPLATES["mit"]
     rows = [
