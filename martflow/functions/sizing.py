@@ -18,6 +18,11 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def inputs(df: DataFrame) -> int:
+    """Number of tables that *df* reads."""
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own limit for broadcast tables (-1 turns broadcasts off)."""
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -69,7 +69,8 @@ def find_hot_keys(
     keyed = df.filter(~_any_null(keys)).select(*keys)
     marked = keyed.withColumn(_CELL, F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int"))
     counts = marked.groupBy(_CELL).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows").alias("total")).scalar()
+    # counted on the keys: a subquery shares no shuffle with the plan around it
+    total = keyed.agg(F.count(F.lit(1)).alias("total")).scalar()
     # at most MAX_HOT_KEYS cells
     hot = F.broadcast(counts.filter(_is_hot(total, skew)).select(_CELL))
     few = marked.join(hot, _CELL, "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martflow.operators.joins import DEFAULT_SKEW, Skew, lookup_join
 from martflow.plans.star import FACT
 from martflow.sources.lookups import Calendar
-from martflow.sources.workdir import stage
+from martflow.sources.workdir import at_hand, stage
 
 PARTS = ("products", "customers", "stores", "staffs", "status", "dates")
 
@@ -147,20 +147,28 @@ def build_mart(
 
     A measure may ask for the ``parts`` it reads, as Spark cannot drop a left join
     with a dimension that it does not know to be unique. Customers with their flag are
-    stored and measured first, so that their own size decides how the fact meets them; the rest
-    is lazy. With the ``calendar`` of the star, the days of the three dates are computed from their
+    stored and measured first, so that their own size decides how the fact meets them; so is a large
+    fact that is itself a join, as several steps read it; the rest is lazy. With the ``calendar`` of the star, the days of the three dates are computed from their
     ids; without it they are looked up in the date dimension.
     """
     unknown = set(parts) - set(PARTS)
     if unknown:
         raise ValueError(f"unknown parts {sorted(unknown)}; use some of {PARTS}")
     fact = star[FACT]
+    if set(parts) - {"dates"}:
+        # joins read the fact for their hot keys, the flag and the unsold products too
+        fact = at_hand(fact, "fact", skew.min_bytes)
     rows = fact.withColumnRenamed("list_price", "order_list_price")
 
     def lookup(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
         # Keys are counted on the fact itself, not on what is joined so far.
         return lookup_join(rows, dim, key, base=fact, skew=skew)
 
+    # The two tables that grow come first, the one with the shorter rows before the other: where they are not
+    # broadcast, the rows are shuffled while they hold little more than the fact's ids.
+    if "products" in parts:
+        products = star["products_dim"].withColumnRenamed("list_price", "product_list_price")
+        rows = with_products(rows, products, skew, fact)
     if "customers" in parts:
         buyers = stage(customers_with_flag(star["customers_dim"], fact, thresholds), "customers")
         # The aggregate behind the flag also tells which customers are hot.
@@ -184,10 +192,8 @@ def build_mart(
             days = star["date_dim"].select(F.col("date_id").alias(id_column), day)
             rows = lookup(rows, days, id_column)
     if "products" in parts:
-        products = star["products_dim"].withColumnRenamed("list_price", "product_list_price")
-        sold = with_products(rows, products, skew, fact)
         unsold = unsold_products(fact, products)
-        rows = sold.unionByName(unsold, allowMissingColumns=True)
+        rows = rows.unionByName(unsold, allowMissingColumns=True)
 
     indicators = revenue_columns()
     flags = flag_columns(thresholds)

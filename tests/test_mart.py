@@ -17,7 +17,7 @@ from martflow.plans.mart import (
 )
 from martflow.plans.star import FACT, build_star, date_dim, order_fact
 from martflow.sources import lookups
-from martflow.sources.workdir import stage, store
+from martflow.sources.workdir import at_hand, stage, store
 from suite import queries, standins
 
 SPREAD = Skew(min_bytes=0, min_hot_rows=20, salts=4)
@@ -166,6 +166,20 @@ def test_fact_is_not_shuffled_for_small_customers(spark, star):
         spark.conf.set(name, before)
 
 
+def test_a_joined_fact_is_made_once_and_shuffled_before_it_is_wide(spark, star, no_broadcast):
+    """The mart reads a stored fact, and its rows meet the products before they hold any other table's texts."""
+    mart = build_mart(star, queries.THRESHOLDS, skew=SPREAD)
+    plan = plan_of(mart)
+    assert "lineitem" not in plan
+    assert 0 < plan.index("hashpartitioning(customer_id") < plan.index("hashpartitioning(product_id")
+    assert plan.index("hashpartitioning(staff_id") < plan.index("hashpartitioning(customer_id")
+    # a stored fact is read where it lies, and so is one made from little
+    stored = store(star[FACT], "fact")
+    assert at_hand(stored, "fact", 0) is stored
+    assert at_hand(star[FACT], "fact", 1 << 40) is star[FACT]
+    assert rows(at_hand(star[FACT], "fact", 0)) == rows(stored)
+
+
 def test_dates_need_no_join(spark, star):
     calendar = lookups.calendar_of(star["date_dim"])
     assert calendar == standins.CALENDAR
