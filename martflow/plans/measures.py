@@ -20,7 +20,11 @@ YEAR_DAYS = 365.0
 
 
 def money(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,4)")).cast("double")
+    return exact_sum(column).cast("double")
+
+
+def exact_sum(column: str) -> Column:
+    return F.sum(F.col(column).cast("decimal(18,4)"))
 
 
 def _orders() -> Column:
@@ -86,27 +90,29 @@ def discount_impact(mart: DataFrame) -> DataFrame:
 # --- products ----------------------------------------------------------------
 
 
-def quantity_by_product(mart: DataFrame) -> DataFrame:
+def quantity_by_product(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Quantity per product; zero for products without sales."""
-    return _by_product(mart).agg(
-        F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("quantity")
+    return _by_product(mart, products, F.sum("quantity")).select(
+        "product_id", "product_name", F.coalesce("total", F.lit(0)).cast("bigint").alias("quantity")
     )
 
 
-def revenue_by_product(mart: DataFrame) -> DataFrame:
-    return _by_product(mart).agg(F.coalesce(money(NET), F.lit(0.0)).alias("revenue"))
+def revenue_by_product(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    return _by_product(mart, products, exact_sum(NET)).select(
+        "product_id", "product_name", F.coalesce(F.col("total").cast("double"), F.lit(0.0)).alias("revenue")
+    )
 
 
-def top_selling_product(mart: DataFrame) -> DataFrame:
-    return revenue_by_product(mart).orderBy(F.desc("revenue"), "product_id").limit(1)
+def top_selling_product(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    return revenue_by_product(mart, products).orderBy(F.desc("revenue"), "product_id").limit(1)
 
 
-def highest_quantity_product(mart: DataFrame) -> DataFrame:
-    return quantity_by_product(mart).orderBy(F.desc("quantity"), "product_id").limit(1)
+def highest_quantity_product(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    return quantity_by_product(mart, products).orderBy(F.desc("quantity"), "product_id").limit(1)
 
 
-def least_selling_product(mart: DataFrame) -> DataFrame:
-    return quantity_by_product(mart).orderBy("quantity", "product_id").limit(1)
+def least_selling_product(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    return quantity_by_product(mart, products).orderBy("quantity", "product_id").limit(1)
 
 
 def brand_loyalty(mart: DataFrame, min_orders: int = 2) -> DataFrame:
@@ -116,13 +122,27 @@ def brand_loyalty(mart: DataFrame, min_orders: int = 2) -> DataFrame:
     return _retained(per_customer.groupBy("brand_name"), min_orders)
 
 
-def revenue_by_category(mart: DataFrame) -> DataFrame:
-    lines = _sales(mart).filter(F.col("product_id").isNotNull())
-    return lines.groupBy("category_name").agg(money(NET).alias("revenue"))
+def revenue_by_category(mart: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    sold = _sales(mart).filter(F.col("product_id").isNotNull())
+    if products is not None:
+        totals = sold.groupBy("product_id").agg(exact_sum(NET).alias("total"))
+        return totals.join(products, "product_id").groupBy("category_name").agg(
+            F.sum("total").cast("double").alias("revenue")
+        )
+    return sold.groupBy("category_name").agg(money(NET).alias("revenue"))
 
 
-def _by_product(mart: DataFrame):
-    return mart.filter(F.col("product_id").isNotNull()).groupBy("product_id", "product_name")
+def _by_product(mart: DataFrame, products: DataFrame | None, total: Column) -> DataFrame:
+    """``total`` per known product, sold or not.
+
+    A mart without products is summed by their ids first, so that ``products`` meet a row per product, not
+    one per line. The join keeps products without sales and drops ids that no product has.
+    """
+    if products is not None:
+        sums = mart.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(total.alias("total"))
+        mart, total = sums.join(products, "product_id", "right"), F.sum("total")
+    known = mart.filter(F.col("product_id").isNotNull())
+    return known.groupBy("product_id", "product_name").agg(total.alias("total"))
 
 
 # --- customers ---------------------------------------------------------------

@@ -765,13 +765,7 @@ _MEASURES = {
     "kpi_aov_quarter": (measures.aov_by_quarter, ("dates",)),
     "kpi_revenue_quarter": (measures.revenue_by_quarter, ("dates",)),
     "kpi_discount_impact": (measures.discount_impact, (FACT_ALONE,)),
-    "kpi_product_top": (measures.top_selling_product, ("products",)),
-    "kpi_product_max_qty": (measures.highest_quantity_product, ("products",)),
-    "kpi_product_least": (measures.least_selling_product, ("products",)),
-    "kpi_qty_product": (measures.quantity_by_product, ("products",)),
-    "kpi_revenue_product": (measures.revenue_by_product, ("products",)),
     "kpi_brand_loyalty": (measures.brand_loyalty, ("products",)),
-    "kpi_revenue_category": (measures.revenue_by_category, ("products",)),
     "kpi_customers_total": (measures.customers_total, (FACT_ALONE,)),
     "kpi_customer_value": (measures.customer_value, ("dates",)),
     "kpi_clv": (
@@ -789,6 +783,17 @@ _MEASURES = {
 }
 
 
+# Summed by product before the products are joined.
+_PRODUCT_MEASURES = {
+    "kpi_product_top": measures.top_selling_product,
+    "kpi_product_max_qty": measures.highest_quantity_product,
+    "kpi_product_least": measures.least_selling_product,
+    "kpi_qty_product": measures.quantity_by_product,
+    "kpi_revenue_product": measures.revenue_by_product,
+    "kpi_revenue_category": measures.revenue_by_category,
+}
+
+
 _STATE_MEASURES = {
     "kpi_revenue_state": (measures.revenue_by_state, (FACT_ALONE,)),
     "kpi_customer_distribution": (measures.customer_distribution, ("dates",)),
@@ -804,6 +809,14 @@ def _measure(measure, parts) -> Query:
     return lambda spark, sf_dir: measure(the_mart(spark, sf_dir, *parts))
 
 
+def _product_measure(measure) -> Query:
+    def run_measure(spark, sf_dir):
+        products = the_star(spark, sf_dir)["products_dim"].drop("list_price")
+        return measure(the_mart(spark, sf_dir, FACT_ALONE), products)
+
+    return run_measure
+
+
 def _state_measure(measure, parts) -> Query:
     def run_measure(spark, sf_dir):
         customers = star.plain_dim(stage1(spark, sf_dir)["customers"])
@@ -813,6 +826,7 @@ def _state_measure(measure, parts) -> Query:
 
 
 QUERIES.update({name: _measure(*entry) for name, entry in _MEASURES.items()})
+QUERIES.update({name: _product_measure(measure) for name, measure in _PRODUCT_MEASURES.items()})
 QUERIES.update({name: _state_measure(*entry) for name, entry in _STATE_MEASURES.items()})
 
 

@@ -246,6 +246,34 @@ def test_parts_do_not_change_a_measure(star):
     assert rows(measures.revenue_by_quarter(whole)) == rows(measures.revenue_by_quarter(part))
 
 
+PRODUCT_MEASURES = (
+    measures.quantity_by_product,
+    measures.revenue_by_product,
+    measures.top_selling_product,
+    measures.highest_quantity_product,
+    measures.least_selling_product,
+    measures.revenue_by_category,
+)
+
+
+def test_measures_summed_by_product_first_are_those_of_the_mart(spark, star):
+    """One line's product is unknown, one product is unsold, and one is listed twice under two names."""
+    small = small_star(spark)
+    twice = small["products_dim"].filter("product_id = 10").withColumn("product_name", F.lit("Other"))
+    small["products_dim"] = small["products_dim"].union(twice)
+    for tables in (small, star):
+        whole, alone = build_mart(tables), build_mart(tables, parts=())
+        for measure in PRODUCT_MEASURES:
+            assert rows(measure(alone, tables["products_dim"])) == rows(measure(whole))
+
+
+def test_products_meet_a_row_per_product(spark, star):
+    alone = build_mart(star, parts=())
+    for measure in PRODUCT_MEASURES:
+        plan = plan_of(measure(alone, star["products_dim"]))
+        assert plan.count("lineitem.parquet") == 1  # lines are read and joined with their orders once
+
+
 def test_measures_of_a_small_star(spark):
     mart = build_mart(small_star(spark))
     totals = measures.sales_totals(mart).first()
