@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martflow.llm import lines, packing, phrases, quality, simhash
 from martflow.llm.tables import held, released, store
+from martflow.sources.workdir import discard, scratch
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +80,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage on what the others left.
+
+    A stage's own tables are discarded as it ends, and its result when the next one is stored.
+    """
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as paths:
+            docs = store(stage(spark, docs, sf_dir), name)
+            result = paths.pop()
+        if read:
+            discard(spark, read)
+        read = result
     return STAGES[-1][1](spark, docs, sf_dir)

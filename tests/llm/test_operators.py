@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from martflow.llm import (
     token_files,
     tokens,
 )
+from martflow.sources.workdir import shared_folder
 
 SCHEMA = "doc_id bigint, text string, key string, mark bigint, words string"
 
@@ -600,3 +602,21 @@ def test_line_dedup_of_long_and_rewritten_lines(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r["doc_id"]: r["removed_lines"] for r in lines.dedup_lines(df).collect()}
     assert {k: v for k, v in found.items() if v} == _late(rows)
+
+
+def left_by(spark, work):
+    """The tables with rows that *work* leaves in the shared folder, by name."""
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("*"))
+    work()
+    new = [p for p in folder.glob("*") if p not in before and list(p.glob("*.parquet"))]
+    return sorted(p.name.rsplit("-", 1)[0] for p in new if not spark.read.parquet(str(p)).isEmpty())
+
+
+def test_line_dedup_and_pipeline_leave_what_is_read_later(spark, sf_dir):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert left_by(spark, lambda: lines.later_matches(docs)) == ["late_lines"]
+    found = left_by(spark, lambda: pipeline.run(spark, sf_dir).count())
+    assert "benchmark_decontamination" in found
+    assert not {"classes", "late_lines", "line_dedup", "quality_classifier", "simhash_near_dedup", "index"} & set(found)
