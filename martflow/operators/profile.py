@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martflow.functions.bits import FILTER_BITS, _bit_filter, _bit_is_set, with_hit  # noqa: F401
 from martflow.functions.sizing import input_bytes
 from martflow.operators.joins import DEFAULT_SKEW
 
@@ -15,8 +16,6 @@ from martflow.operators.joins import DEFAULT_SKEW
 DISTRIBUTION_ROWS = 10
 HISTOGRAM_BINS = 30
 
-#: Bits of the filter of repeated row hashes: 2 MB whatever the table.
-FILTER_BITS = 1 << 24
 #: Rows that are read to bound the first values of a large table.
 BOUND_ROWS = 4096
 
@@ -136,11 +135,7 @@ def duplicate_rows(df: DataFrame, hash_first_bytes: int = DEFAULT_SKEW.min_bytes
         row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
         hashes = df.select(row_hash.alias("__hash")).groupBy("__hash")
         repeated = hashes.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
-        # FILTER_BITS / 32768 rows of 4 kB
-        marks = F.broadcast(_bit_filter(repeated.select("__hash")))
-        slot = F.pmod(row_hash, F.lit(FILTER_BITS)) + 1
-        marked = df.select("*", slot.alias("__slot")).withColumn("__bucket", F.bitmap_bucket_number("__slot"))
-        rows = marked.join(marks, "__bucket").filter(_bit_is_set(F.col("__bits"), F.bitmap_bit_position("__slot")))
+        rows = with_hit(df, "__hit", row_hash, repeated.select("__hash")).filter("__hit")
     groups = rows.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("__rows"))
     repeated = groups.filter(F.col("__rows") > 1)
     return repeated.agg(
@@ -149,20 +144,6 @@ def duplicate_rows(df: DataFrame, hash_first_bytes: int = DEFAULT_SKEW.min_bytes
     )
 
 
-def _bit_filter(hashes: DataFrame) -> DataFrame:
-    """``(__bucket, __bits)``: a bit for every hash, at its place modulo FILTER_BITS."""
-    slots = hashes.select((F.pmod("__hash", F.lit(FILTER_BITS)) + 1).alias("slot"))
-    return slots.groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits")
-    )
-
-
-def _bit_is_set(bits: Column, position: Column) -> Column:
-    byte = F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.getbit(value, (position % 8).cast("int")) == 1
-
-
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
 

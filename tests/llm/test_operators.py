@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from martflow.functions.bits import with_hit
 from martflow.llm import (
     blocks,
     graph,
@@ -620,3 +621,26 @@ def test_line_dedup_and_pipeline_leave_what_is_read_later(spark, sf_dir):
     found = left_by(spark, lambda: pipeline.run(spark, sf_dir).count())
     assert "benchmark_decontamination" in found
     assert not {"classes", "late_lines", "line_dedup", "quality_classifier", "simhash_near_dedup", "index"} & set(found)
+
+
+def test_line_dedup_shuffles_only_what_may_be_settled(spark):
+    """Numbers of classes are right, and all but the settled ones and a few others reach them without a join."""
+    rows = [(7 * i, 3, i, -i, [i, i + 1]) for i in range(3000)]
+    classes = spark.createDataFrame(rows, "id bigint, size int, every bigint, upper bigint, prefix array<bigint>")
+    gone = {7 * i for i in range(0, 3000, 300)}
+    settled = spark.createDataFrame([(i,) for i in gone], "a bigint")
+    found = {r["every"]: r["id"] for r in lines._numbered(classes, settled).collect()}
+    assert found == {i: 2 * n + (n not in gone) for n, _, i, *_ in rows}
+    marked = with_hit(classes, "hit", F.xxhash64("id"), settled.select(F.xxhash64("a")))
+    hit = {r["id"] for r in marked.filter("hit").collect()}
+    assert gone <= hit and len(hit) < 20
+    assert with_hit(classes, "hit", F.xxhash64("id"), settled.filter("false")).filter("hit").count() == 0
+
+
+def test_line_dedup_finds_few_lines_among_many_texts(spark):
+    """Of many texts few hold similar lines, so that the filters leave out most of them; equal lines go without a pair."""
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(10))) for i in range(400)]
+    rows += [(1000, "one two three four five six\nlast"), (1001, "six five four three two one"), (1002, "last")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["removed_lines"] for r in lines.dedup_lines(df).collect()}
+    assert {k: v for k, v in found.items() if v} == {1001: [0], 1002: [0]} == _late(rows)
