@@ -204,30 +204,23 @@ def histograms(
     }
     if not axes:
         raise ValueError("no numeric or date column to draw a histogram of")
-    limits = _sql_report(
-        df,
-        [
-            f"struct({_text(name)} AS column_name, min({axis}) AS low, max({axis}) AS high)"
-            for name, axis in axes.items()
-        ],
+    entries = ", ".join(
+        f"struct({_text(name)} AS column_name, min({axis}) AS low, max({axis}) AS high)" for name, axis in axes.items()
     )
-    entries = ", ".join(f"struct({_text(name)} AS column_name, {axis} AS x)" for name, axis in axes.items())
-    points = df.select(F.expr(f"inline(array({entries}))")).filter(F.col("x").isNotNull())
-    # One row per column of the table, so the broadcast has a fixed size.
-    placed = points.join(F.broadcast(limits), "column_name")
+    limits = df.agg(F.expr(f"array({entries})").alias("limits"))
+    limits = limits.select(F.posexplode("limits").alias("place", "limit")).select("place", "limit.*")
+    pairs = ", ".join(f"struct({i} AS place, {axis} AS x)" for i, axis in enumerate(axes.values()))
+    points = df.select(F.expr(f"inline(array({pairs}))")).filter(F.col("x").isNotNull())
+    # One row per column of the table, so the broadcast has a fixed size. Columns go by their
+    # place, and a place and bin by one number: rows are joined and grouped by integers.
+    placed = points.join(F.broadcast(limits.select("place", "low", "high")), "place")
     share = (F.col("x") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    number = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins))
-    counted = (
-        placed.groupBy("column_name", number.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("found"))
-    )
-    grid = limits.filter(F.col("low").isNotNull()).select(
-        "column_name",
-        "low",
-        "high",
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-    )
-    return grid.join(counted, ["column_name", "bin"], "left").select(
+    number = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins)).cast("int")
+    cell = F.col("place") * bins
+    counted = placed.groupBy((cell + number).alias("cell")).agg(F.count(F.lit(1)).alias("found"))
+    grid = limits.filter(F.col("low").isNotNull()).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    grid = grid.withColumn("cell", cell + F.col("bin"))
+    return grid.join(counted, "cell", "left").select(
         "column_name",
         "bin",
         "low",

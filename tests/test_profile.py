@@ -147,3 +147,21 @@ def test_repeated_rows_are_combined_before_the_shuffle(spark):
     )
     ids = {r["id"] for r in hit.collect()}
     assert set(range(1000)) <= ids and len(ids) < 1010
+
+
+def test_histograms_count_numbers_not_names(spark):
+    """Values are grouped by one integer of their column and bin, whatever the columns are called."""
+    df = spark.range(300).selectExpr(
+        "cast(id AS double) AS `limits`", "id % 7 AS `x1`", "date '2020-01-01' + cast(id % 30 AS int) AS `cell`",
+        "if(id < 3, NULL, id / 10) AS `a.b`", "cast(NULL AS int) AS none", "5 AS same",
+    )
+    found = profile.histograms(df, bins=6)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [column_name#" not in plan
+    rows = {}
+    for r in found.collect():
+        rows.setdefault(r["column_name"], {})[r["bin"]] = r["rows"]
+    assert set(rows) == {"limits", "x1", "cell", "a.b", "same"}
+    assert {c: sum(b.values()) for c, b in rows.items()} == {"limits": 300, "x1": 300, "cell": 300, "a.b": 297, "same": 300}
+    assert rows["same"] == {0: 300, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0}
+    assert rows["x1"] == {n: sum(min(5, int((i % 7) / 6 * 6)) == n for i in range(300)) for n in range(6)}
