@@ -14,6 +14,7 @@ and layer is one number per feature and label.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ CHARS = (3, 4)
 ROWS_PER_LABEL = 1500
 EPOCHS = 4
 RATE = 0.5
+#: Features take some 100 bytes per byte of text while they are made, so blocks are small.
+BLOCK_BYTES = 1 << 18
 #: Word bytes are told apart by white space alone; case is kept, as it tells quality.
 _BYTES = np.array([0 if x == 32 or 9 <= x <= 13 else x for x in range(256)], np.uint8)
 _REPEAT = np.uint64(0xA0761D6478BD642F)
@@ -86,7 +89,7 @@ def _examples(df: DataFrame, text: str, label: str) -> list[tuple[np.ndarray, np
     @F.arrow_udf("struct<bucket:binary,share:binary>")
     def counted(texts: pa.Array) -> pa.Array:
         found = []
-        for _, offsets, data in blocks(texts):
+        for _, offsets, data in blocks(texts, BLOCK_BYTES):
             kinds = features(data, offsets)
             for i in range(len(offsets) - 1):
                 own = np.concatenate([x[at[i] : at[i + 1]] for x, at in kinds])
@@ -102,6 +105,16 @@ def _examples(df: DataFrame, text: str, label: str) -> list[tuple[np.ndarray, np
     ]
 
 
+def _ordered(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> list:
+    """By label, number of buckets, buckets and shares; only those that tie on the numbers have their bytes copied."""
+
+    def numbers(x):
+        return x[2], len(x[0])
+
+    ties = groupby(sorted(examples, key=numbers), numbers)
+    return [x for _, tie in ties for x in sorted(tie, key=lambda x: (x[0].tobytes(), x[1].tobytes()))]
+
+
 def learn(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
     """Gradient descent, one text at a time, with a rate that falls to nothing.
 
@@ -112,7 +125,7 @@ def learn(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) ->
     if labels != {0, 1}:
         only = 0.0 if not labels else 50.0 if labels == {1} else -50.0
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), only)
-    examples = sorted(examples, key=lambda x: (x[2], len(x[0]), x[0].tobytes(), x[1].tobytes()))
+    examples = _ordered(examples)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
@@ -168,6 +181,19 @@ def fit(
     return learn(_examples(one.orderBy("k", "y"), "t", "y"))
 
 
+def scores(texts: pa.Array, weight: np.ndarray, bias: float) -> np.ndarray:
+    out = np.empty(len(texts))
+    for first, offsets, data in blocks(texts, BLOCK_BYTES):
+        total, count = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
+        for bucket, at in features(data, offsets):
+            sums = np.concatenate([[0], np.cumsum(weight[bucket], dtype=np.float64)])
+            total += sums[at[1:]] - sums[at[:-1]]
+            count += at[1:] - at[:-1]
+        logit = total / np.maximum(count, 1) + bias
+        out[first : first + len(logit)] = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+    return out
+
+
 def with_score(df: DataFrame, model: Model, text: str, name: str) -> DataFrame:
     """Adds the probability of label 1. All of a text counts; NULL counts as empty, and an
     empty text, having no features, scores by the layer's bias alone."""
@@ -175,16 +201,7 @@ def with_score(df: DataFrame, model: Model, text: str, name: str) -> DataFrame:
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        out = np.empty(len(texts))
-        for first, offsets, data in blocks(texts):
-            total, count = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
-            for bucket, at in features(data, offsets):
-                sums = np.concatenate([[0], np.cumsum(weight[bucket], dtype=np.float64)])
-                total += sums[at[1:]] - sums[at[:-1]]
-                count += at[1:] - at[:-1]
-            logit = total / np.maximum(count, 1) + bias
-            out[first : first + len(logit)] = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
-        return pa.array(out)
+        return pa.array(scores(texts, weight, bias))
 
     return df.withColumn(name, scored(F.col(text)))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -147,6 +148,34 @@ def test_quality_on_held_out_rows(spark, odd, empty):
     assert [r["held_out"] for r in found if r["doc_id"] == 5] == [zlib.crc32(b"5") % 3 == 1]
 
 
+def test_quality_scores_hold_little_at_a_time():
+    word = [f"w{i * 7919 % 9973}" for i in range(1500)]
+    texts = pa.array([" ".join(word[k * 13 % 1000 :][:500]) for k in range(2000)])
+    weight = np.random.default_rng(1).normal(0, 1, 1 << quality.BUCKET_BITS).astype(np.float32)
+    blocks.powers.cache_clear()
+    tracemalloc.start()
+    found = quality.scores(texts, weight, 0.1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 6 MB of texts; blocks of 2 MB took 178 MB
+    assert peak < 48e6
+    alone = [quality.scores(texts[k : k + 1], weight, 0.1)[0] for k in (0, 700, 1999)]
+    assert np.allclose(found[[0, 700, 1999]], alone, rtol=0, atol=1e-9)
+
+
+def test_quality_examples_have_one_order():
+    rng = np.random.default_rng(2)
+    examples = [
+        (rng.integers(0, 3, n).astype("<i4"), rng.integers(0, 2, n).astype(np.float32), int(y))
+        for n, y in zip(rng.integers(0, 4, 200), rng.integers(0, 2, 200), strict=True)
+    ]
+
+    def marks(x):
+        return x[2], len(x[0]), x[0].tobytes(), x[1].tobytes()
+
+    assert [marks(x) for x in quality._ordered(examples)] == sorted(map(marks, examples))
+
+
 def test_quality_features_stay_within_their_text():
     together = ["ab cd ab", "", "x", "cd cd é", "  "]
     data = pa.array(together)
